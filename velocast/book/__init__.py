@@ -40,7 +40,7 @@ TRIPS = """trips AS (
 WEATHER_SOURCE = """weather_source AS (
   SELECT l_linestatus AS POSTAL_CODE, CAST(l_shipdate AS DATE) AS DATE_VALID_STD,
          round(sum(l_discount), 2) AS TOT_PRECIPITATION_MM,
-         avg(l_quantity) AS AVG_TEMPERATURE_FEELSLIKE_2M_C
+         CAST(avg(l_quantity) AS DECIMAL(20,10)) AS AVG_TEMPERATURE_FEELSLIKE_2M_C
   FROM lineitem GROUP BY 1, 2)"""
 
 WEATHER = """weather AS (

@@ -37,7 +37,7 @@ def weather_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (li.groupBy(F.col("l_linestatus").alias("POSTAL_CODE"),
                        F.to_date("l_shipdate").alias("DATE_VALID_STD"))
             .agg(F.round(F.sum("l_discount"), 2).alias("TOT_PRECIPITATION_MM"),
-                 F.avg("l_quantity").alias("AVG_TEMPERATURE_FEELSLIKE_2M_C")))
+                 F.avg("l_quantity").cast("decimal(20,10)").alias("AVG_TEMPERATURE_FEELSLIKE_2M_C")))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,11 +78,11 @@ def utc_to_local_date(c, tz: str = "America/New_York") -> Column:
     return F.to_date(F.from_utc_timestamp(_c(c).cast("timestamp"), tz))
 
 
-def fourier_terms(c, orders=(1, 2), period: float = 365.25) -> list[Column]:
-    """sin/cos of day-of-year for each harmonic order."""
-    out = []
+def fourier_terms(c, orders=(1, 2), period: float = 365.25) -> dict[str, Column]:
+    """{SIN_k, COS_k}: sin/cos of 2*pi*k*day-of-year/period per harmonic k."""
+    out = {}
     doy = F.dayofyear(_c(c))
     for k in orders:
         arg = F.lit(2.0 * math.pi * k) * doy / F.lit(period)
-        out += [F.sin(arg).alias(f"SIN_{k}"), F.cos(arg).alias(f"COS_{k}")]
+        out[f"SIN_{k}"], out[f"COS_{k}"] = F.sin(arg), F.cos(arg)
     return out
