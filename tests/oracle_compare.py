@@ -90,7 +90,7 @@ def main(argv):
         except Exception as e:  # noqa: BLE001
             r = dict(name=name, ok=False, why=f"{type(e).__name__}: {str(e)[:400]}")
         bad += r.get("ok") is False
-        print(r, flush=True)
+        print("\nRESULT", r, flush=True)
     print(f"{len(qs)} queries, {len(sqls)} with oracle, {bad} failing")
     return bad
 
