@@ -131,10 +131,20 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     dele = o.filter(m == 0).select(*base, F.lit("DELETE").alias("ACTION"), F.lit(False).alias("ISUPDATE"))
     upd_del = o.filter(m == 1).select(*base, F.lit("DELETE").alias("ACTION"), F.lit(True).alias("ISUPDATE"))
     upd_ins = o.filter(m == 1).select(
-        "ORDERKEY", "CUSTKEY", F.lit("U").alias("STATUS"), F.round(F.col("PRICE") * 1.1, 2).alias("PRICE"),
+        "ORDERKEY", "CUSTKEY", F.lit("U").alias("STATUS"), (F.col("PRICE") + F.lit(1.0)).alias("PRICE"),
         "PRIORITY", F.lit("INSERT").alias("ACTION"), F.lit(True).alias("ISUPDATE"))
     new = o.filter(m == 2).select(
         (-F.col("ORDERKEY")).alias("ORDERKEY"), "CUSTKEY", "STATUS", "PRICE", "PRIORITY",
         F.lit("INSERT").alias("ACTION"), F.lit(False).alias("ISUPDATE"))
     out = dele.unionByName(upd_del).unionByName(upd_ins).unionByName(new)
     return out.withColumn("SEQ", F.when(F.col("ACTION") == "INSERT", F.lit(2)).otherwise(F.lit(1)).cast("bigint"))
+
+
+def later_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later state of ``order_rows``: key mod 7 = 0 removed, = 1 re-priced, = 2 added (negated)."""
+    o = order_rows(spark, sf_dir)
+    m = F.col("ORDERKEY") % 7
+    kept = o.filter(m != 0).withColumn("PRICE", F.when(m == 1, F.col("PRICE") + F.lit(1.0))
+                                       .otherwise(F.col("PRICE")))
+    added = o.filter(m == 2).withColumn("ORDERKEY", -F.col("ORDERKEY"))
+    return kept.unionByName(added)

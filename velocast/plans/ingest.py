@@ -84,8 +84,9 @@ def bulk_months(spark: SparkSession, first: str = "2013-06-01", last: str = "201
 
 
 def bulk_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame,
-             paths: dict[str, str] | None = None) -> str:
-    """K3: K2 over every landed archive whose month is in the bulk range."""
-    names = bulk_months(spark).select("NAME")
-    chosen = landed.join(names, "NAME", "left_semi")
+             paths: dict[str, str] | None = None,
+             first: str = "2013-06-01", last: str = "2019-12-01") -> str:
+    """K3: K2 over every landed file whose month lies in the bulk range (201306-201912)."""
+    month = A.file_month(F.col("NAME"))
+    chosen = landed.filter((month >= F.lit(first).cast("date")) & (month <= F.lit(last).cast("date")))
     return incremental_elt(spark, cfg, chosen, paths)

@@ -149,3 +149,37 @@ def empty_table(spark: SparkSession, name: str, schema: T.StructType, path: str
 def table_like(spark: SparkSession, source: str, name: str, path: str | None = None) -> str:
     """Empty table with another table's schema."""
     return empty_table(spark, name, spark.table(source).schema, path)
+
+
+def stage_monthly_files(df: DataFrame, month_col: str, landing: str, suffix: str = "-citibike-tripdata.csv.gz",
+                        null_value: str = "NULL", files_per_month: int = 1) -> list[str]:
+    """Land ``df`` as gzip CSV files named ``YYYYMM[-i]<suffix>`` (the extract step's output).
+
+    Spark writes the month partitions in parallel, ``files_per_month`` writers
+    per month (rows spread by a hash salt, so a busy month is not one task);
+    the driver only renames the finished files (file-system metadata).
+    """
+    spark = df.sparkSession
+    tmp = landing.rstrip("/") + "/_write"
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
+    (df.repartition(F.col(month_col), salt).write.mode("overwrite").partitionBy(month_col)
+       .option("header", True).option("compression", "gzip").option("nullValue", null_value)
+       .option("quote", '"').option("escape", '"').csv(tmp))
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(tmp)
+    fs = root.getFileSystem(conf)
+    out = []
+    for d in fs.listStatus(root):
+        name = d.getPath().getName()
+        if not d.isDirectory() or "=" not in name:
+            continue
+        month = name.split("=", 1)[1]
+        parts = [s.getPath() for s in fs.listStatus(d.getPath()) if s.getPath().getName().startswith("part-")]
+        for i, p in enumerate(sorted(parts, key=lambda x: x.getName())):
+            tag = "" if len(parts) == 1 else f"-{i}"
+            dest = jvm.org.apache.hadoop.fs.Path(landing.rstrip("/") + f"/{month}{suffix.replace('.csv', tag + '.csv')}")
+            fs.rename(p, dest)
+            out.append(dest.toString())
+    fs.delete(root, True)
+    return sorted(out)
