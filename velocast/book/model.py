@@ -12,7 +12,7 @@ from ..operators import evaluate as EV
 from ..operators import features as H
 from ..operators import model as M
 from ..operators import udfs as U
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from . import BASE, features_ctes, register, with_ctes
 
 FEATS = feature_names()
@@ -244,8 +244,8 @@ def flatten_eval(spark, sf_dir):
 @register("flat_forecast")
 def flat_forecast(spark, sf_dir):
     """The model path end to end: train, forecast, explain, pack, flatten."""
-    f = _features(spark, sf_dir)
-    coefs = M.train_per_station(f)
+    f = cut_lineage(_features(spark, sf_dir))
+    coefs = cut_lineage(M.train_per_station(f))
     hist = M.explain_rows(M.predict_history(f, coefs), coefs)
     fut = M.explain_rows(M.forecast_recursive(f, coefs, _calendar(spark, sf_dir)), coefs)
     return EV.flatten_predictions(EV.pack_predictions(hist, fut), 1)
