@@ -36,12 +36,12 @@ def feature_table_short(spark, sf_dir):
                            lags=ENTRY_LAGS, min_days=ENTRY_MIN_DAYS)
 
 
-@register("forecast_calendar_q", with_ctes(*BASE) + """
+@register("forecast_calendar", with_ctes(*BASE) + """
 , b AS (SELECT CAST(max(STARTTIME) AS DATE) + 1 AS S FROM trips)
 SELECT w.DATE, coalesce(h.HOLIDAY, 0) AS HOLIDAY, w.PRECIP, w.TEMP
 FROM holidays h RIGHT JOIN weather w ON h.DATE = w.DATE
 WHERE w.DATE >= (SELECT S FROM b) AND w.DATE <= (SELECT S + 30 FROM b)""")
-def forecast_calendar_q(spark, sf_dir):
+def forecast_calendar(spark, sf_dir):
     """H5: the 31 forecast days after the last trip date."""
     return H.forecast_calendar(fx.trips(spark, sf_dir), fx.holidays(spark, sf_dir), fx.weather(spark, sf_dir))
 

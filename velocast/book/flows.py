@@ -127,6 +127,20 @@ def month_files(spark, sf_dir):
     return AF.month_files(b)
 
 
+@register("unpack_zip_csv", with_ctes(RAW1) +
+          "SELECT BIKEID, _ORIG AS STARTTIME, START_STATION_ID, START_STATION_LATITUDE, END_STATION_NAME FROM raw1")
+def unpack_zip_csv(spark, sf_dir):
+    """A4: schema1 rows landed as monthly zip archives, read back through the zip reader."""
+    landing = scratch_path(spark, "zips")
+    r1 = fx.raw_schema1(spark, sf_dir)
+    m1 = F.date_format(F.add_months(F.to_date(F.to_timestamp("STARTTIME", "M/d/yyyy H:mm")), RAW1_SHIFT), "yyyyMM")
+    AF.stage_monthly_zips(r1.withColumn("_MONTH", m1), "_MONTH", landing).write.format("noop").mode(
+        "overwrite").save()
+    raw = AF.unpack_zip_csv(spark, landing, K.SCHEMA1)
+    return raw.select("BIKEID", K.parse_timestamp(K.normalize_datetime("STARTTIME")).alias("STARTTIME"),
+                      "START_STATION_ID", "START_STATION_LATITUDE", "END_STATION_NAME")
+
+
 @register("list_files")
 def list_files(spark, sf_dir):
     return AF.list_files(spark, sf_dir, "*.parquet")

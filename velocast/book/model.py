@@ -108,6 +108,32 @@ def ar_baseline(spark, sf_dir):
     return HB.ar_baseline(dense_daily(spark, sf_dir))
 
 
+@register("ar_baseline_trend", with_ctes(LDAILY) + """
+, s AS (SELECT STATION_ID, DATE, CAST("COUNT" AS DOUBLE) AS Y,
+               CAST(row_number() OVER (PARTITION BY STATION_ID ORDER BY DATE) AS DOUBLE) AS RN,
+               CAST(count(*) OVER (PARTITION BY STATION_ID) - 365 AS DOUBLE) AS T FROM ldaily),
+s1 AS (SELECT *, regr_slope(CASE WHEN RN <= T THEN Y END, CASE WHEN RN <= T THEN RN END)
+                   OVER (PARTITION BY STATION_ID) AS B,
+                 regr_intercept(CASE WHEN RN <= T THEN Y END, CASE WHEN RN <= T THEN RN END)
+                   OVER (PARTITION BY STATION_ID) AS A FROM s),
+s2 AS (SELECT *, Y - A - B * RN AS E FROM s1),
+s3 AS (SELECT *, lag(E, 1) OVER (PARTITION BY STATION_ID ORDER BY DATE) AS EL FROM s2),
+s4 AS (SELECT *, regr_slope(CASE WHEN RN <= T THEN E END, CASE WHEN RN <= T THEN EL END)
+                   OVER (PARTITION BY STATION_ID) AS PHI,
+                 regr_intercept(CASE WHEN RN <= T THEN E END, CASE WHEN RN <= T THEN EL END)
+                   OVER (PARTITION BY STATION_ID) AS C,
+                 max(CASE WHEN RN = T THEN E END) OVER (PARTITION BY STATION_ID) AS ET FROM s3),
+f AS (SELECT STATION_ID, B, PHI,
+             Y - (A + B * RN + C / (1 - PHI) + pow(PHI, RN - T) * (ET - C / (1 - PHI))) AS ERR
+      FROM s4 WHERE RN > T)
+SELECT STATION_ID, round(first(B), 6) AS TREND, round(first(PHI), 6) AS PHI, count(*) AS N_HOLDOUT,
+       round(avg(ERR * ERR), 4) AS MSE
+FROM f GROUP BY STATION_ID""")
+def ar_baseline_trend(spark, sf_dir):
+    """H8, second model: trend + AR(1) errors, last 365 rows held out."""
+    return HB.trend_ar_baseline(dense_daily(spark, sf_dir))
+
+
 # ------------------------------------------------------------ H9 - H14
 
 SPLIT_SQL = """split AS (

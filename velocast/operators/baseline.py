@@ -79,3 +79,37 @@ def ar_baseline(daily: DataFrame, holdout: int = CUTPOINT, key: str = STATION,
         F.round(F.first("PHI"), 6).alias("PHI"), F.round(F.first("C"), 6).alias("C"),
         F.count(F.lit(1)).alias("N_HOLDOUT"),
         F.round(F.avg(F.col("_E") * F.col("_E")), digits).alias("MSE"))
+
+
+def trend_ar_baseline(daily: DataFrame, holdout: int = CUTPOINT, key: str = STATION,
+                      value: str = COUNT, digits: int = 4) -> DataFrame:
+    """H8 (second model): linear trend + AR(1) errors, two-stage least squares.
+
+    Stage 1: y_t = a + b t on the training rows; stage 2: e_t = c + phi e_{t-1}
+    on the training residuals; forecast over the held-out rows
+      y_hat(T+h) = a + b (T+h) + mu + phi^h (e_T - mu),  mu = c / (1 - phi).
+    All fits are window aggregates over the station partitioning, so the
+    series is shuffled once.
+    """
+    w = Window.partitionBy(key).orderBy(DATE)
+    wall = Window.partitionBy(key)
+    y = F.col(value).cast("double")
+    s = (daily.withColumn("_Y", y)
+         .withColumn("_RN", F.row_number().over(w).cast("double"))
+         .withColumn("_T", (F.count(F.lit(1)).over(wall) - holdout).cast("double")))
+    train = F.col("_RN") <= F.col("_T")
+    s = (s.withColumn("B", F.regr_slope(F.when(train, F.col("_Y")), F.when(train, F.col("_RN"))).over(wall))
+          .withColumn("A", F.regr_intercept(F.when(train, F.col("_Y")), F.when(train, F.col("_RN"))).over(wall))
+          .withColumn("_E", F.col("_Y") - F.col("A") - F.col("B") * F.col("_RN"))
+          .withColumn("_EL", F.lag("_E", 1).over(w)))
+    s = (s.withColumn("PHI", F.regr_slope(F.when(train, F.col("_E")), F.when(train, F.col("_EL"))).over(wall))
+          .withColumn("C", F.regr_intercept(F.when(train, F.col("_E")), F.when(train, F.col("_EL"))).over(wall))
+          .withColumn("_ET", F.max(F.when(F.col("_RN") == F.col("_T"), F.col("_E"))).over(wall)))
+    mu = F.col("C") / (F.lit(1.0) - F.col("PHI"))
+    h = F.col("_RN") - F.col("_T")
+    yhat = F.col("A") + F.col("B") * F.col("_RN") + mu + F.pow(F.col("PHI"), h) * (F.col("_ET") - mu)
+    test = s.filter(~train).withColumn("_ERR", F.col("_Y") - yhat)
+    return test.groupBy(key).agg(
+        F.round(F.first("B"), 6).alias("TREND"), F.round(F.first("PHI"), 6).alias("PHI"),
+        F.count(F.lit(1)).alias("N_HOLDOUT"),
+        F.round(F.avg(F.col("_ERR") * F.col("_ERR")), digits).alias("MSE"))

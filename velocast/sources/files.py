@@ -152,7 +152,8 @@ def table_like(spark: SparkSession, source: str, name: str, path: str | None = N
 
 
 def stage_monthly_files(df: DataFrame, month_col: str, landing: str, suffix: str = "-citibike-tripdata.csv.gz",
-                        null_value: str = "NULL", files_per_month: int = 1) -> list[str]:
+                        null_value: str = "NULL", files_per_month: int = 1,
+                        compression: str = "gzip") -> list[str]:
     """Land ``df`` as gzip CSV files named ``YYYYMM[-i]<suffix>`` (the extract step's output).
 
     Spark writes the month partitions in parallel, ``files_per_month`` writers
@@ -163,7 +164,7 @@ def stage_monthly_files(df: DataFrame, month_col: str, landing: str, suffix: str
     tmp = landing.rstrip("/") + "/_write"
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
     (df.repartition(F.col(month_col), salt).write.mode("overwrite").partitionBy(month_col)
-       .option("header", True).option("compression", "gzip").option("nullValue", null_value)
+       .option("header", True).option("compression", compression).option("nullValue", null_value)
        .option("quote", '"').option("escape", '"').csv(tmp))
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -183,3 +184,43 @@ def stage_monthly_files(df: DataFrame, month_col: str, landing: str, suffix: str
             out.append(dest.toString())
     fs.delete(root, True)
     return sorted(out)
+
+
+def _zip_and_write(batches):
+    """mapInPandas helper: each CSV file -> a one-member zip archive written next to
+    its target name through pyarrow's file systems (local, HDFS, object stores)."""
+    from pyarrow import fs as pafs
+    for pdf in batches:
+        out = []
+        for src, dest, content in zip(pdf["path"], pdf["DEST"], pdf["content"]):
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+                member = dest.rsplit("/", 1)[-1].replace(".zip", "")
+                zf.writestr(member if member.endswith(".csv") else member + ".csv", content)
+            filesystem, path = pafs.FileSystem.from_uri(dest if "://" in dest else "file://" + dest)
+            with filesystem.open_output_stream(path) as fh:
+                fh.write(buf.getvalue())
+            out.append((dest, len(buf.getvalue())))
+        yield pd.DataFrame(out, columns=["PATH", "LENGTH"])
+
+
+def stage_monthly_zips(df: DataFrame, month_col: str, landing: str,
+                       null_value: str = "NULL") -> DataFrame:
+    """Land ``df`` as one zip archive per month with the download naming rule
+    ('-citibike-tripdata.zip' through 2016-12, '.csv.zip' after).
+
+    Spark writes plain CSV per month; executors then wrap each file in a zip
+    archive (one file per task row, nothing passes through the driver).
+    """
+    spark = df.sparkSession
+    plain = landing.rstrip("/") + "/_csv"
+    stage_monthly_files(df, month_col, plain, suffix="-citibike-tripdata.csv", null_value=null_value,
+                        compression="none")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(plain)
+    month = F.to_date(F.substring_index(F.element_at(F.split("path", "/"), -1), "-", 1), "yyyyMM")
+    name = F.concat(F.date_format(month, "yyyyMM"),
+                    F.when(month <= F.lit("2016-12-01").cast("date"), F.lit("-citibike-tripdata.zip"))
+                    .otherwise(F.lit("-citibike-tripdata.csv.zip")))
+    dest = F.concat(F.lit(landing.rstrip("/") + "/"), name)
+    return files.select("path", "content", dest.alias("DEST")).mapInPandas(
+        _zip_and_write, "PATH string, LENGTH long")
