@@ -38,30 +38,56 @@ def _key_match(t: DataFrame, c: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [t[k].eqNullSafe(c[k]) for k in keys])
 
 
-def merge_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Apply change records to ``target`` (returns the new table state).
+# A micro-batch reduced to one change per key is far below this; beyond it the
+# merge falls back to one shuffled full outer join.
+MAX_BROADCAST_KEYS = 2_000_000
 
-    matched + INSERT + ISUPDATE -> row replaced; matched + DELETE -> removed;
-    not matched + INSERT -> inserted; anything else leaves the target as is.
-    Columns are matched by name; keys compare null-safely.
-    """
+
+def _apply(target: DataFrame, red: DataFrame, keys: list[str]) -> DataFrame:
+    """Full-outer merge of ``target`` with one reduced change per key."""
     data_cols = [c for c in target.columns if c not in keys]
-    red = reduce_changes(changes.select(*target.columns, *META), keys)
     t = target.withColumn("_T", F.lit(True)).alias("t")
     c = red.alias("c")
     j = t.join(c, _key_match(t, c, keys), "full")
     matched = F.col("t._T").isNotNull()
     is_insert = F.col(f"c.{ACTION}") == "INSERT"
-    take_change = (~matched & is_insert) | (matched & is_insert & F.coalesce(F.col(f"c.{ISUPDATE}"), F.lit(False)))
-    keep_target = matched & (F.col(f"c.{ACTION}").isNull() | (is_insert & ~F.coalesce(F.col(f"c.{ISUPDATE}"),
-                                                                                     F.lit(False))))
-    out = j.filter(take_change | keep_target)
-    return out.select(
+    is_update = F.coalesce(F.col(f"c.{ISUPDATE}"), F.lit(False))
+    take_change = (~matched & is_insert) | (matched & is_insert & is_update)
+    keep_target = matched & (F.col(f"c.{ACTION}").isNull() | (is_insert & ~is_update))
+    return j.filter(take_change | keep_target).select(
         *[F.when(matched, F.col(f"t.{k}")).otherwise(F.col(f"c.{k}")).alias(k) for k in keys],
         *[F.when(take_change, F.col(f"c.{x}")).otherwise(F.col(f"t.{x}")).alias(x) for x in data_cols]
     ).select(*target.columns)
 
 
+def merge_changes(target: DataFrame, changes: DataFrame, keys: list[str],
+                  max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """Apply change records to ``target`` (returns the new table state).
+
+    matched + INSERT + ISUPDATE -> row replaced; matched + DELETE -> removed;
+    not matched + INSERT -> inserted; anything else leaves the target as is.
+    Columns are matched by name; keys compare null-safely.
+
+    When the reduced change set has at most ``max_broadcast_keys`` keys (a
+    bounded count), the target is never shuffled: untouched rows pass a
+    broadcast anti-join, and only the touched rows (broadcast semi-join) meet
+    the changes in a small full outer join.  Larger change sets use one
+    shuffled full outer join.
+    """
+    red = reduce_changes(changes.select(*target.columns, *META), keys)
+    n = red.limit(max_broadcast_keys + 1).count()
+    if n == 0:
+        return target
+    if n > max_broadcast_keys:
+        return _apply(target, red, keys)
+    kb = F.broadcast(red.select(*keys)).alias("k")
+    t = target.alias("t")
+    match = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
+    untouched = t.join(kb, match, "left_anti").select(*target.columns)
+    touched = t.join(kb, match, "left_semi").select(*target.columns)
+    return untouched.unionByName(_apply(touched, red, keys))
+
+
 def snapshot_diff(before: DataFrame | None, after: DataFrame, keys: list[str]) -> DataFrame:
     """Change set between two states; with no ``before`` every row is an INSERT.
 
