@@ -529,7 +529,8 @@ def array_item(spark, sf_dir):
 
 JSON_SQL = """js AS (
   SELECT STATION_ID,
-         to_json(list(struct_pack(DATE := strftime(DATE, '%Y-%m-%d'), "COUNT" := "COUNT") ORDER BY DATE)) AS DOC
+         CAST(to_json(list(struct_pack(DATE := strftime(DATE, '%Y-%m-%d'), "COUNT" := "COUNT") ORDER BY DATE))
+              AS VARCHAR) AS DOC
   FROM daily GROUP BY STATION_ID)"""
 
 

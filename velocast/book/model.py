@@ -281,7 +281,7 @@ def flat_forecast(spark, sf_dir):
 
 @register("udtf_partitioned", with_ctes(LDAILY) + """
 SELECT STATION_ID, count(*) AS N_DAYS, min(DATE) AS FIRST_DATE, max(DATE) AS LAST_DATE,
-       sum("COUNT") AS TOTAL, max("COUNT") AS PEAK FROM ldaily GROUP BY STATION_ID""")
+       CAST(sum("COUNT") AS BIGINT) AS TOTAL, max("COUNT") AS PEAK FROM ldaily GROUP BY STATION_ID""")
 def udtf_partitioned(spark, sf_dir):
     return U.series_summary(spark, dense_daily(spark, sf_dir))
 
