@@ -238,7 +238,7 @@ def reset_database(spark, sf_dir):
     db = _name("velocast")
     A.reset_database(spark, db, {"RAW_schema1": K.SCHEMA1, "RAW_schema2": K.SCHEMA2},
                      scratch_path(spark, "db", db))
-    return spark.sql(f"SHOW TABLES IN {db}")
+    return spark.sql(f"SHOW TABLES IN {db}").filter(~F.col("isTemporary"))
 
 
 @register("local_to_table", with_ctes(TRIPS) + """
