@@ -41,7 +41,8 @@ def category_codes(df: DataFrame, col: str, out: str = "CODE") -> DataFrame:
     """
     labels = (df.select(col).where(F.col(col).isNotNull()).distinct()
               .select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).alias(out)))
-    return (df.join(labels, on=col, how="left")
+    from ..session import checked_broadcast
+    return (df.join(checked_broadcast(labels, 100_000), on=col, how="left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("int")))
 
 

@@ -28,14 +28,15 @@ def parse_timestamp(c) -> Column:
     """Text -> timestamp; unparsable text gives NULL (ANSI-safe).
 
     Accepts one- or two-digit month/day/hour, optional seconds and fraction,
-    which is what G1 produces for both schema versions.
+    which is what G1 produces for both schema versions.  The pattern is
+    chosen by a cheap shape test first, so each value is parsed once.
     """
     c = _c(c)
-    return F.coalesce(
-        F.try_to_timestamp(c, F.lit("y-M-d H:m:s[.SSSSSS]")),
-        F.try_to_timestamp(c, F.lit("y-M-d H:m")),
-        F.try_to_timestamp(c, F.lit("y-M-d")),
-    )
+    with_seconds = c.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{2}:[0-9]{2}")
+    with_minutes = c.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{2}$")
+    return (F.when(with_seconds, F.try_to_timestamp(c, F.lit("y-M-d H:m:s[.SSSSSS]")))
+            .when(with_minutes, F.try_to_timestamp(c, F.lit("y-M-d H:m")))
+            .otherwise(F.try_to_timestamp(c, F.lit("y-M-d"))))
 
 
 def to_day(c) -> Column:

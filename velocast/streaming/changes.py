@@ -23,13 +23,16 @@ META = (ACTION, ISUPDATE, SEQ)
 
 
 def reduce_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """One change per key: the highest SEQ; on equal SEQ the INSERT side wins.
+    """One change per key: the highest SEQ; on equal SEQ the INSERT side wins
+    (then the larger row hash, for determinism).
 
     An aggregate (max_by) rather than a window, so a key with very many
     changes is combined map-side instead of landing in one task.
     """
     cols = [c for c in changes.columns if c not in keys]
-    order = F.struct(F.col(SEQ), F.when(F.col(ACTION) == "INSERT", 1).otherwise(0))
+    # the row hash breaks remaining ties deterministically, so a recomputed
+    # task (after a lost executor) picks the same change
+    order = F.struct(F.col(SEQ), F.when(F.col(ACTION) == "INSERT", 1).otherwise(0), F.xxhash64(*cols))
     best = F.max_by(F.struct(*cols), order).alias("_C")
     return changes.groupBy(*keys).agg(best).select(*keys, "_C.*")
 
