@@ -152,3 +152,25 @@ def test_catalog_helpers(spark):
     assert A.ensure_table(spark, name, lambda: None).count() == 5
     assert [r["NAME"] for r in A.table_schema(df).collect()] == ["id", "X"]
     assert len(A.fetch_bounded(df, 2)) == 2
+
+
+def test_stage_several_files_per_month_keeps_every_row(spark):
+    d = _tmp()
+    rows = [(f"{i}", f"2015-0{1 + i % 2}-01 00:00:00", "201501" if i % 2 == 0 else "201701") for i in range(40)]
+    df = spark.createDataFrame(rows, "ride_id string, STARTTIME string, _MONTH string")
+    # AQE would merge these tiny salted partitions back into one file per month
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = AF.stage_monthly_files(df, "_MONTH", d + "/csv", rows_per_file=5)
+        zips = AF.stage_monthly_zips(df, "_MONTH", d + "/zip", rows_per_file=5).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(paths) > 2 and all(p.rsplit("/", 1)[-1][:6] in ("201501", "201701") for p in paths)
+    back = spark.read.option("header", True).csv(d + "/csv/*.csv.gz")
+    assert back.count() == 40
+    names = [r["PATH"].rsplit("/", 1)[-1] for r in zips]
+    assert len(names) == len(set(names)) and all(n.endswith(".zip") for n in names)
+    assert any(n.startswith("201701") and n.endswith(".csv.zip") for n in names)
+    from pyspark.sql import types as T
+    st = T.StructType([T.StructField("ride_id", T.StringType()), T.StructField("STARTTIME", T.StringType())])
+    assert AF.unpack_zip_csv(spark, d + "/zip", st).count() == 40

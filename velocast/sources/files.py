@@ -152,18 +152,25 @@ def table_like(spark: SparkSession, source: str, name: str, path: str | None = N
 
 
 def stage_monthly_files(df: DataFrame, month_col: str, landing: str, suffix: str = "-citibike-tripdata.csv.gz",
-                        null_value: str = "NULL", files_per_month: int = 1,
+                        null_value: str = "NULL", rows_per_file: int = 5_000_000,
                         compression: str = "gzip") -> list[str]:
     """Land ``df`` as gzip CSV files named ``YYYYMM[-i]<suffix>`` (the extract step's output).
 
-    Spark writes the month partitions in parallel, ``files_per_month`` writers
-    per month (rows spread by a hash salt, so a busy month is not one task);
-    the driver only renames the finished files (file-system metadata).
+    Each month gets ceil(rows / ``rows_per_file``) writers (a per-month count,
+    one small broadcast row per month), and rows are spread over them by a
+    hash salt, so a month holding a third of all trips is not one task.  The
+    driver only renames the finished files (file-system metadata).
     """
     spark = df.sparkSession
     tmp = landing.rstrip("/") + "/_write"
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
-    (df.repartition(F.col(month_col), salt).write.mode("overwrite").partitionBy(month_col)
+    per_month = (df.groupBy(month_col).agg(F.count(F.lit(1)).alias("_ROWS"))
+                 .select(month_col, F.greatest(F.lit(1), F.ceil(F.col("_ROWS") / F.lit(rows_per_file)))
+                         .cast("long").alias("_FILES")))
+    months = F.broadcast(per_month)  # one row per month: bounded by the calendar
+    salted = df.join(months, month_col).withColumn(
+        "_SALT", F.pmod(F.xxhash64(*df.columns), F.col("_FILES"))).drop("_FILES")
+    (salted.repartition(F.col(month_col), F.col("_SALT")).drop("_SALT").write.mode("overwrite")
+       .partitionBy(month_col)
        .option("header", True).option("compression", compression).option("nullValue", null_value)
        .option("quote", '"').option("escape", '"').csv(tmp))
     jvm = spark.sparkContext._jvm
@@ -205,7 +212,7 @@ def _zip_and_write(batches):
 
 
 def stage_monthly_zips(df: DataFrame, month_col: str, landing: str,
-                       null_value: str = "NULL") -> DataFrame:
+                       null_value: str = "NULL", rows_per_file: int = 5_000_000) -> DataFrame:
     """Land ``df`` as one zip archive per month with the download naming rule
     ('-citibike-tripdata.zip' through 2016-12, '.csv.zip' after).
 
@@ -215,12 +222,12 @@ def stage_monthly_zips(df: DataFrame, month_col: str, landing: str,
     spark = df.sparkSession
     plain = landing.rstrip("/") + "/_csv"
     stage_monthly_files(df, month_col, plain, suffix="-citibike-tripdata.csv", null_value=null_value,
-                        compression="none")
+                        rows_per_file=rows_per_file, compression="none")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(plain)
-    month = F.to_date(F.substring_index(F.element_at(F.split("path", "/"), -1), "-", 1), "yyyyMM")
-    name = F.concat(F.date_format(month, "yyyyMM"),
-                    F.when(month <= F.lit("2016-12-01").cast("date"), F.lit("-citibike-tripdata.zip"))
-                    .otherwise(F.lit("-citibike-tripdata.csv.zip")))
+    base = F.element_at(F.split("path", "/"), -1)          # YYYYMM-citibike-tripdata[-i].csv
+    month = F.to_date(F.substring_index(base, "-", 1), "yyyyMM")
+    name = F.when(month <= F.lit("2016-12-01").cast("date"), F.regexp_replace(base, r"\.csv$", ".zip")) \
+            .otherwise(F.concat(base, F.lit(".zip")))
     dest = F.concat(F.lit(landing.rstrip("/") + "/"), name)
     return files.select("path", "content", dest.alias("DEST")).mapInPandas(
         _zip_and_write, "PATH string, LENGTH long")
