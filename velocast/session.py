@@ -41,22 +41,26 @@ def build_session(master: str | None = None, app: str = "velocast",
     return spark
 
 
+SHARED_KEY = "velocast.shared.dir"
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and is read as is; only when it
-    is unset (local tests) a folder under /tmp is chosen.
+    On a cluster this is set by the operator and is read as is.  Only when it
+    is unset (local tests) a folder under /tmp is chosen; it is recorded
+    under a session key and used as the checkpoint directory (Spark does not
+    allow ``spark.checkpoint.dir`` itself to change at runtime).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-        if root:
-            root = os.path.dirname(root.rstrip("/"))
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED_KEY, None)
+    if not root and sc.getCheckpointDir():
+        root = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
     if not root:
         root = f"/tmp/velocast-{uuid.uuid4().hex[:8]}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        spark.conf.set(SHARED_KEY, root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root.rstrip("/") + "/checkpoints")
     return root.rstrip("/")
 
 
