@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +40,42 @@ def build_session(master: str | None = None, app: str = "velocast",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_root(spark)
+    ship_package(spark)
     return spark
 
 
+SHIPPED_KEY = "velocast.shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``velocast`` importable in every Python worker, once per context.
+
+    Pandas UDFs, ``mapInPandas``/``applyInPandas`` and the UDTF are pickled
+    by reference to their module, so workers must import the package.  On a
+    cluster this is ``spark-submit --py-files velocast.zip``; when the package
+    is not shipped that way (a session handed in by a caller, tests), it is
+    zipped once on the driver and added with ``addPyFile``, Spark's own
+    runtime equivalent.
+    """
+    sc = spark.sparkContext
+    if sc.getConf().get(SHIPPED_KEY, "") == "true" or spark.conf.get(SHIPPED_KEY, None) == "true":
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    if any(os.path.basename(p).startswith("velocast") for p in getattr(sc, "_python_includes", []) or []):
+        spark.conf.set(SHIPPED_KEY, "true")
+        return
+    out = os.path.join(tempfile.mkdtemp(prefix="velocast-py-"), "velocast.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("velocast", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    spark.conf.set(SHIPPED_KEY, "true")
+
+
 SHARED_KEY = "velocast.shared.dir"
 
 
