@@ -79,3 +79,17 @@ def test_utc_to_local_and_fourier(spark):
     f = df.select(*[c.alias(n) for n, c in GD.fourier_terms(F.lit("2020-01-01").cast("date")).items()]).collect()[0]
     assert abs(f["SIN_1"] ** 2 + f["COS_1"] ** 2 - 1) < 1e-12
     assert pd.notna(f["COS_2"])
+
+
+def test_category_codes_distributed_rank_matches_local(spark):
+    from velocast.functions.columns import category_codes
+    part = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    df = part.select(F.when(F.col("p_partkey") % 13 == 0, None)
+                     .otherwise(F.concat("p_name", (F.col("p_partkey") % 997).cast("string"))).alias("C"))
+    local = category_codes(df, "C").select("C", "CODE").distinct()
+    spread = category_codes(df, "C", max_local_labels=10).select("C", "CODE").distinct()
+    assert sorted(local.collect(), key=str) == sorted(spread.collect(), key=str)
+    labels = sorted(r["C"] for r in df.where(F.col("C").isNotNull()).distinct().collect())
+    codes = {r["C"]: r["CODE"] for r in spread.collect()}
+    assert [codes[c] for c in labels] == list(range(len(labels)))
+    assert codes[None] == -1

@@ -300,8 +300,9 @@ def udf_scalar_json(spark, sf_dir):
     return flat.select("STATION_ID", *[F.round(m, 6).alias(m) for m in EV.METRICS])
 
 
-@register("eval_driver_loop")
+@register("eval_driver_loop", with_ctes(PREDS) + _eval_sql("preds", "y_true", "y_score", with_pearson=False))
 def eval_driver_loop(spark, sf_dir):
+    """Scores written to a table in one set-based job, read back (pearson dropped)."""
     path = scratch_path(spark, "eval_table")
     name = "velocast_eval_" + path.rsplit("/", 1)[-1]
     U.evaluate_to_table(fx.preds(spark, sf_dir), "y_true", "y_score", name, path)

@@ -32,20 +32,47 @@ def first_match_label(value, candidates: list[str]) -> Column:
     return expr
 
 
-def category_codes(df: DataFrame, col: str, out: str = "CODE") -> DataFrame:
+# Category labels ranked in one small task when there are at most this many.
+MAX_LOCAL_LABELS = 100_000
+
+
+def category_codes(df: DataFrame, col: str, out: str = "CODE",
+                   max_local_labels: int = MAX_LOCAL_LABELS) -> DataFrame:
     """code = rank of the label among the sorted distinct labels; NULL -> -1.
 
-    The distinct labels are a small aggregated relation (a categorical column,
-    e.g. the seven explainer names); a dense rank over it is joined back, so
-    nothing goes through the driver.
+    The distinct labels are an aggregated relation.  When it provably holds at
+    most ``max_local_labels`` rows (a bounded, cached count) they are ranked
+    in one small window and broadcast; otherwise the rank is computed over
+    range partitions (``ordinal_of_distinct``) and shuffle-joined, so no task
+    sees all labels and nothing goes through the driver.
     """
-    labels = (df.select(col).where(F.col(col).isNotNull()).distinct()
-              .select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).alias(out)))
-    from ..session import checked_broadcast
-    return (df.join(checked_broadcast(labels, 100_000), on=col, how="left")
+    from ..session import bounded_cache
+    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
+    small = bounded_cache(labels, max_local_labels)
+    if small is not None:
+        ranked = F.broadcast(small.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).alias(out)))
+    else:
+        ranked = ordinal_of_distinct(labels, col, out)
+    return (df.join(ranked, on=col, how="left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("int")))
 
 
+def ordinal_of_distinct(distinct: DataFrame, col: str, out: str) -> DataFrame:
+    """0-based position of each value of a distinct column in sorted order.
+
+    Range-partitions the values, numbers them inside each partition and adds
+    the sizes of all earlier partitions (one row per partition, a table the
+    size of the shuffle partition count).
+    """
+    parts = distinct.repartitionByRange(col).withColumn("_P", F.spark_partition_id())
+    local = parts.withColumn("_I", F.row_number().over(Window.partitionBy("_P").orderBy(col)))
+    sizes = local.groupBy("_P").agg(F.count(F.lit(1)).alias("_N"))
+    before = Window.orderBy("_P").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_P", F.coalesce(F.sum("_N").over(before), F.lit(0)).alias("_OFF"))
+    return (local.join(F.broadcast(offsets), "_P")
+            .select(col, (F.col("_OFF") + F.col("_I") - 1).cast("int").alias(out)))
+
+
 def array_of(*cols) -> Column:
     """Array from columns or literals."""
     return F.array(*[_c(c) if not isinstance(c, (int, float)) else F.lit(c) for c in cols])

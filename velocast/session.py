@@ -110,12 +110,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_cache(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """``df`` cached, if it provably has at most ``max_rows`` rows; else None.
+
+    The proof is a count of ``df.limit(max_rows + 1)``; that limited relation
+    is what gets cached, so the cache never holds more than ``max_rows + 1``
+    rows and the caller reuses the counted rows instead of computing ``df`` a
+    second time.  Over the bound the cache is dropped at once.  A lost cached
+    block is recomputed from lineage.
+    """
+    lim = df.limit(max_rows + 1).cache()
+    if lim.count() <= max_rows:
+        return lim
+    lim.unpersist()
+    return None
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast-hint ``df`` only when it provably has at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``).  Beyond the bound
-    the frame is returned unhinted, so the planner and AQE fall back to a
-    shuffled join that scales with the data.
+    Within the bound the broadcast reads the rows cached by the check
+    (``bounded_cache``).  Beyond it the frame is returned unhinted, so the
+    planner and AQE fall back to a shuffled join that scales with the data.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    small = bounded_cache(df, max_rows)
+    return F.broadcast(small) if small is not None else df

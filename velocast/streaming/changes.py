@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import bounded_cache
+
 ACTION, ISUPDATE, SEQ = "ACTION", "ISUPDATE", "SEQ"
 META = (ACTION, ISUPDATE, SEQ)
 
@@ -72,23 +74,34 @@ def merge_changes(target: DataFrame, changes: DataFrame, keys: list[str],
     Columns are matched by name; keys compare null-safely.
 
     When the reduced change set has at most ``max_broadcast_keys`` keys (a
-    bounded count), the target is never shuffled: untouched rows pass a
-    broadcast anti-join, and only the touched rows (broadcast semi-join) meet
-    the changes in a small full outer join.  Larger change sets use one
-    shuffled full outer join.
+    bounded count whose rows are cached and reused), the target is never
+    shuffled: untouched rows pass a broadcast anti-join, and only the touched
+    rows (broadcast semi-join) meet the changes in a small full outer join.
+    Larger change sets use one shuffled full outer join.
+    """
+    return merge_plan(target, changes, keys, max_broadcast_keys)[0]
+
+
+def merge_plan(target: DataFrame, changes: DataFrame, keys: list[str],
+               max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> tuple[DataFrame, DataFrame | None]:
+    """J1 plan plus the cached reduced change set it reads (None if not cached).
+
+    A caller that writes the result (the streaming sink) unpersists the
+    cached changes afterwards.
     """
     red = reduce_changes(changes.select(*target.columns, *META), keys)
-    n = red.limit(max_broadcast_keys + 1).count()
-    if n == 0:
-        return target
-    if n > max_broadcast_keys:
-        return _apply(target, red, keys)
-    kb = F.broadcast(red.select(*keys)).alias("k")
+    small = bounded_cache(red, max_broadcast_keys)
+    if small is None:
+        return _apply(target, red, keys), None
+    if small.isEmpty():
+        small.unpersist()
+        return target, None
+    kb = F.broadcast(small.select(*keys)).alias("k")
     t = target.alias("t")
     match = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
     untouched = t.join(kb, match, "left_anti").select(*target.columns)
     touched = t.join(kb, match, "left_semi").select(*target.columns)
-    return untouched.unionByName(_apply(touched, red, keys))
+    return untouched.unionByName(_apply(touched, small, keys)), small
 
 
 def snapshot_diff(before: DataFrame | None, after: DataFrame, keys: list[str]) -> DataFrame:
@@ -164,7 +177,10 @@ def merge_sink(root: str, keys: list[str]):
             return
         spark = batch.sparkSession
         _, current = read_version(spark, root, below=batch_id)
-        write_version(merge_changes(current, batch, keys), root, batch_id)
+        merged, held = merge_plan(current, batch, keys)
+        write_version(merged, root, batch_id)
+        if held is not None:
+            held.unpersist()
     return apply
 
 
