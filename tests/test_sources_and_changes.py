@@ -125,7 +125,7 @@ def test_snapshot_diff_and_roundtrip(spark):
 def test_stream_merge_and_replay_idempotent(spark):
     base = _tmp()
     target, changes_dir = f"{base}/target", f"{base}/changes"
-    J.init_target(_target(spark), target)
+    J.init_target(_target(spark), target, ["K"], buckets=8)
     ch = spark.createDataFrame([(2, "b", "DELETE", False, 1), (7, "g", "INSERT", False, 1),
                                 (1, "a", "DELETE", True, 1), (1, "z", "INSERT", True, 2)], SCHEMA)
     ch.repartition(2, "K").write.parquet(changes_dir)
@@ -139,6 +139,14 @@ def test_stream_merge_and_replay_idempotent(spark):
     batch = spark.read.parquet(changes_dir)
     J.merge_sink(target, ["K"])(batch.filter("false"), last + 1)      # empty batch: no new version
     assert J.committed_versions(spark, target) == versions
+    # only the buckets holding changed keys were rewritten; the rest still point at the initial version
+    _, manifest = J._manifest(spark, target)
+    changed = {r["B"] for r in ch.select(J.bucket_of(["K"], 8).alias("B")).collect()}
+    assert {b for b, v in manifest.items() if v is not None and v >= 0} <= changed
+    assert len(manifest) == 8
+    # replaying a batch id rewrites that version from the same inputs
+    J.merge_sink(target, ["K"])(ch.filter(F.col("K") == 7), last)
+    assert {r["K"]: r["V"] for r in J.current_state(spark, target).collect()}.get(7) == "g"
 
 
 def test_catalog_helpers(spark):

@@ -300,7 +300,7 @@ def stream_merge(spark, sf_dir):
     changes_dir, target = f"{base}/changes", f"{base}/target"
     ch = fx.changes(spark, sf_dir)
     ch.repartition(4, F.pmod(F.col("ORDERKEY"), F.lit(4))).write.mode("overwrite").parquet(changes_dir)
-    J.init_target(fx.order_rows(spark, sf_dir), target)
+    J.init_target(fx.order_rows(spark, sf_dir), target, KEYS)
     q = J.stream_merge(spark, changes_dir, ch.schema, target, KEYS, checkpoint=f"{base}/_checkpoint",
                        max_files_per_trigger=2)
     q.awaitTermination()

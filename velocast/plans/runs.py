@@ -112,7 +112,7 @@ def cdc_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame, changes_dirs
     interim = {}
     for version in K.SCHEMAS:
         target = f"{root}/interim_{version}"
-        J.init_target(spark.table(cfg.raw(version)), target)
+        J.init_target(spark.table(cfg.raw(version)), target, keys[version])
         if version in changes_dirs:
             schema = spark.read.parquet(changes_dirs[version]).schema
             q = J.stream_merge(spark, changes_dirs[version], schema, target, keys[version],

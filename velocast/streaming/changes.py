@@ -5,18 +5,21 @@ ISUPDATE and a sequence number.  An update arrives as a DELETE + INSERT pair
 with ISUPDATE = true (the change-stream convention).
 
 Plain Parquet has no transactional MERGE, so a merge produces a *new
-version* of the table: version N lives in ``<root>/VERSION=N`` and is
-written from version < N plus batch N.  A replayed micro-batch rewrites the
-same directory from the same inputs, so the sink is idempotent; a version
-counts only once its ``_SUCCESS`` marker exists.
+version* of the table: version N holds the rewritten key buckets touched by
+batch N, and its manifest names, for every bucket, the version holding it.
+Version N is written from the newest version < N plus batch N, so a replayed
+micro-batch rewrites the same version from the same inputs (idempotent); a
+version counts only once its manifest exists.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import bounded_cache
 
@@ -131,6 +134,25 @@ def snapshot_diff(before: DataFrame | None, after: DataFrame, keys: list[str]) -
 
 
 # ------------------------------------------------------- versioned target
+#
+# Layout under ``root``:
+#   _layout.json                       keys, bucket count, data schema
+#   VERSION=N/VBUCKET=b/part-*.parquet  the rows of key bucket b written by version N
+#   VERSION=N/_MANIFEST.json           for every bucket: the version holding it (or null = empty)
+#
+# A merge reads and rewrites only the buckets its micro-batch touches; the
+# manifest (written last, the commit marker) carries the other buckets over
+# by reference.  Reading a state is one manifest plus at most B folders.
+
+BUCKET = "VBUCKET"
+# Key buckets of a versioned target; a merge rewrites only the buckets it touches.
+DEFAULT_BUCKETS = 64
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """Bucket of a row: a function of the key columns only (null-safe hash)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -138,8 +160,30 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p, jvm = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _layout(spark: SparkSession, root: str) -> dict:
+    return json.loads(_read_text(spark, f"{root}/_layout.json"))
+
+
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions of a target whose write committed (``_SUCCESS`` present)."""
+    """Versions of a target whose manifest (the commit marker) exists."""
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
         return []
@@ -147,38 +191,81 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("VERSION="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_MANIFEST.json")):
                 out.append(int(name.split("=", 1)[1]))
     return sorted(out)
 
 
-def write_version(df: DataFrame, root: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/VERSION={version}")
-
-
-def read_version(spark: SparkSession, root: str, below: int | None = None) -> tuple[int, DataFrame]:
-    """The newest committed version (strictly below ``below`` if given)."""
+def _manifest(spark: SparkSession, root: str, below: int | None = None) -> tuple[int, dict]:
     vs = [v for v in committed_versions(spark, root) if below is None or v < below]
     if not vs:
         raise FileNotFoundError(f"no committed version under {root}")
-    v = vs[-1]
-    return v, spark.read.parquet(f"{root}/VERSION={v}")
+    m = json.loads(_read_text(spark, f"{root}/VERSION={vs[-1]}/_MANIFEST.json"))
+    return vs[-1], {int(b): v for b, v in m["buckets"].items()}
+
+
+def _write_buckets(df: DataFrame, root: str, version: int, keys: list[str], buckets: int,
+                   touched: list[int], base: dict) -> None:
+    """Write ``df`` (rows of the ``touched`` buckets) as ``version``, then its manifest."""
+    spark = df.sparkSession
+    path = f"{root}/VERSION={version}"
+    (df.withColumn(BUCKET, bucket_of(keys, buckets))
+       .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+    fs, p, _ = _fs(spark, path)
+    written = {int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
+               if st.isDirectory() and st.getPath().getName().startswith(f"{BUCKET}=")}
+    manifest = dict(base)
+    for b in touched:
+        manifest[b] = version if b in written else None
+    _write_text(spark, f"{path}/_MANIFEST.json",
+                json.dumps({"version": version, "buckets": {str(b): v for b, v in sorted(manifest.items())}}))
+
+
+def _read_buckets(spark: SparkSession, root: str, manifest: dict, schema: T.StructType,
+                  only: list[int] | None = None) -> DataFrame:
+    wanted = manifest.keys() if only is None else only
+    paths = [f"{root}/VERSION={manifest[b]}/{BUCKET}={b}" for b in sorted(wanted)
+             if manifest.get(b) is not None]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def init_target(df: DataFrame, root: str, keys: list[str], buckets: int = DEFAULT_BUCKETS) -> None:
+    """Initial state (version -1), e.g. the raw table's current rows, split into key buckets."""
+    spark = df.sparkSession
+    _write_text(spark, f"{root}/_layout.json",
+                json.dumps({"keys": list(keys), "buckets": int(buckets), "schema": df.schema.jsonValue()}))
+    _write_buckets(df, root, -1, keys, buckets, list(range(buckets)), {})
 
 
-def init_target(df: DataFrame, root: str) -> None:
-    """Initial state (version -1), e.g. the raw table's current rows."""
-    write_version(df, root, -1)
+def read_version(spark: SparkSession, root: str, below: int | None = None) -> tuple[int, DataFrame]:
+    """The newest committed state (strictly below version ``below`` if given)."""
+    layout = _layout(spark, root)
+    v, manifest = _manifest(spark, root, below)
+    return v, _read_buckets(spark, root, manifest, T.StructType.fromJson(layout["schema"]))
 
 
 def merge_sink(root: str, keys: list[str]):
-    """J1 as a ``foreachBatch`` function: empty batch -> no-op; replay-safe."""
+    """J1 as a ``foreachBatch`` function: empty batch -> no-op; replay-safe.
+
+    Version N is written from the newest committed version below N and batch
+    N only, so a replayed batch rewrites the same version.  Only the key
+    buckets that occur in the batch are read, merged and rewritten.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        _, current = read_version(spark, root, below=batch_id)
+        layout = _layout(spark, root)
+        n = layout["buckets"]
+        schema = T.StructType.fromJson(layout["schema"])
+        _, manifest = _manifest(spark, root, below=batch_id)
+        # at most n small values: the bucket ids present in the batch
+        touched = sorted(r[0] for r in batch.select(bucket_of(keys, n).alias("_B")).distinct().collect())
+        current = _read_buckets(spark, root, manifest, schema, only=touched)
         merged, held = merge_plan(current, batch, keys)
-        write_version(merged, root, batch_id)
+        _write_buckets(merged, root, batch_id, keys, n, touched, manifest)
         if held is not None:
             held.unpersist()
     return apply
