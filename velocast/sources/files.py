@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SCHEMA2_FIRST_MONTH
+from ..session import checked_broadcast
+
+# A landing holds at most this many months for a broadcast month table.
+MAX_MONTHS = 100_000
 
 # The two null tokens of the trip files.
 NULL_TOKENS = ("\\N", "NULL")
@@ -69,12 +73,28 @@ def month_files(bounds: DataFrame, start_col: str = "START", end_col: str = "END
     return months.select("MONTH", F.concat(F.date_format("MONTH", "yyyyMM"), suffix).alias("NAME"))
 
 
+def _open_uri(uri: str):
+    """Seekable input stream for a file URI (local, HDFS or object store) via pyarrow."""
+    from urllib.parse import unquote
+
+    from pyarrow import fs as pafs
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file("/" + unquote(uri[5:]).lstrip("/"))
+    filesystem, path = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    return filesystem.open_input_file(unquote(path))
+
+
 def _unzip_lines(batches):
-    """mapInPandas helper: first member of each archive -> (PATH, LINE_NO, LINE)."""
+    """mapInPandas helper: first member of each archive -> (PATH, LINE_NO, LINE).
+
+    The archive is opened from its path and read through a seekable stream,
+    so only the zip directory and the current block are in memory, whatever
+    the archive's size; lines leave in batches of 50,000.
+    """
     for pdf in batches:
         out = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        for path in pdf["path"]:
+            with _open_uri(path) as raw, zipfile.ZipFile(raw) as zf:
                 member = zf.namelist()[0]
                 with zf.open(member) as fh:
                     text = io.TextIOWrapper(fh, encoding="utf-8", newline="")
@@ -91,11 +111,16 @@ def unpack_zip_csv(spark: SparkSession, paths: list[str] | str, schema: T.Struct
                    glob: str = "*.zip") -> DataFrame:
     """A4: read the first CSV member of each zip archive with ``schema``.
 
-    Lines stream out of the archive in bounded batches; the header line of
-    each archive is dropped; fields are parsed JVM-side by ``from_csv``.
+    Only the archive listing is read by Spark (the content column is pruned);
+    the listing is spread one archive per task (an explicit partition count,
+    which AQE keeps), and each task streams its archive's lines in bounded
+    batches.  The header line of each archive is dropped; fields are parsed
+    JVM-side by ``from_csv``.
     """
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
-    lines = raw.select("path", "content").mapInPandas(
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
+               .select("path"))
+    n = max(1, listing.count())            # number of archives (file-system metadata)
+    lines = listing.repartition(n, "path").mapInPandas(
         _unzip_lines, "PATH string, LINE_NO long, LINE string")
     ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
     parsed = (lines.filter(F.col("LINE_NO") > 0)
@@ -166,7 +191,8 @@ def stage_monthly_files(df: DataFrame, month_col: str, landing: str, suffix: str
     per_month = (df.groupBy(month_col).agg(F.count(F.lit(1)).alias("_ROWS"))
                  .select(month_col, F.greatest(F.lit(1), F.ceil(F.col("_ROWS") / F.lit(rows_per_file)))
                          .cast("long").alias("_FILES")))
-    months = F.broadcast(per_month)  # one row per month: bounded by the calendar
+    # one row per month; broadcast only behind a checked bound
+    months = checked_broadcast(per_month, MAX_MONTHS)
     salted = df.join(months, month_col).withColumn(
         "_SALT", F.pmod(F.xxhash64(*df.columns), F.col("_FILES"))).drop("_FILES")
     (salted.repartition(F.col(month_col), F.col("_SALT")).drop("_SALT").write.mode("overwrite")
