@@ -182,3 +182,19 @@ def test_stage_several_files_per_month_keeps_every_row(spark):
     from pyspark.sql import types as T
     st = T.StructType([T.StructField("ride_id", T.StringType()), T.StructField("STARTTIME", T.StringType())])
     assert AF.unpack_zip_csv(spark, d + "/zip", st).count() == 40
+
+
+def test_snapshot_of_immutable_table_is_zero_copy_and_keeps_its_state(spark):
+    d = _tmp()
+    src, snap = "t_src_" + os.path.basename(d).replace("-", "_"), "t_snap_" + os.path.basename(d).replace("-", "_")
+    A.write_immutable(spark.range(4), src, d + "/src")
+    A.snapshot_table(spark, src, snap)
+    assert A.table_location(spark, snap) == A.table_location(spark, src)     # no copy
+    A.write_immutable(spark.range(10, 12), src, d + "/src")                  # the source moves on
+    assert sorted(r["id"] for r in spark.table(snap).collect()) == [0, 1, 2, 3]
+    assert sorted(r["id"] for r in spark.table(src).collect()) == [10, 11]
+    # a table written in place is copied instead
+    A.write_overwrite(spark.range(3), src + "_plain", d + "/plain")
+    A.snapshot_table(spark, src + "_plain", snap + "_plain", d + "/plain_snap")
+    assert A.table_location(spark, snap + "_plain") != A.table_location(spark, src + "_plain")
+    assert spark.table(snap + "_plain").count() == 3

@@ -220,7 +220,7 @@ def ensure_table(spark, sf_dir):
 @register("snapshot_table", with_ctes(TRIPS) + "SELECT * FROM trips")
 def snapshot_table(spark, sf_dir):
     src, snap = _name("trips"), _name("trips_snapshot")
-    A.write_overwrite(fx.trips(spark, sf_dir), src, scratch_path(spark, "tables", src))
+    A.write_immutable(fx.trips(spark, sf_dir), src, scratch_path(spark, "tables", src))
     A.snapshot_table(spark, src, snap, scratch_path(spark, "tables", snap))
     return spark.table(snap)
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..config import RunConfig
 from ..functions.dates import normalize_datetime, parse_timestamp
+from ..sources import catalog as C
 from ..sources import files as A
 
 # The column lists of the two raw schema versions and the
@@ -51,13 +52,16 @@ def transform_trips(raw1: DataFrame, raw2: DataFrame) -> DataFrame:
 
 
 def write_trips(spark: SparkSession, cfg: RunConfig, path: str | None = None) -> str:
-    """K1 as a table rebuild: TRIPS := transform(raw schema1, raw schema2)."""
+    """K1 as a table rebuild: TRIPS := transform(raw schema1, raw schema2).
+
+    Each rebuild lands in a fresh folder under ``path`` (default: next to the
+    database's tables), so a run's snapshot of TRIPS costs no copy.
+    """
     t = transform_trips(spark.table(cfg.raw("schema1")), spark.table(cfg.raw("schema2")))
-    w = t.write.mode("overwrite")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(cfg.trips)
-    return cfg.trips
+    if not path:
+        db = spark.catalog.currentDatabase()
+        path = f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{cfg.trips.lower()}_versions"
+    return C.write_immutable(t, cfg.trips, path)
 
 
 def incremental_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame,

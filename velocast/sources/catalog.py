@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -45,9 +46,41 @@ def ensure_table(spark: SparkSession, name: str, generate: Callable[[], DataFram
     return spark.table(name) if spark.catalog.tableExists(name) else generate()
 
 
+# Table property marking a table whose files are never rewritten in place.
+IMMUTABLE = "velocast.immutable"
+
+
+def write_immutable(df: DataFrame, table: str, root: str) -> str:
+    """A9 for tables that runs snapshot: each write goes to a fresh folder under
+    ``root`` and the table is re-pointed to it (an external table, so the
+    folder of the previous state is kept).  Snapshots of it are metadata only.
+    """
+    location = f"{root.rstrip('/')}/v={uuid.uuid4().hex}"
+    _writer(df, "overwrite", location).saveAsTable(table)
+    tag_lineage(df.sparkSession, table, {IMMUTABLE: "true"})
+    return table
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
 def snapshot_table(spark: SparkSession, source: str, name: str, path: str | None = None) -> str:
-    """Point-in-time copy of ``source`` for a run (a physical copy on Parquet)."""
-    return write_overwrite(spark.table(source), name, path)
+    """Point-in-time copy of ``source`` for a run.
+
+    When ``source`` was written by ``write_immutable`` its folder never
+    changes, so the snapshot is a second external table over the same files
+    (zero-copy, like a clone).  Any other table is copied.
+    """
+    props = {r["key"]: r["value"] for r in read_tags(spark, source).collect()}
+    if props.get(IMMUTABLE) != "true":
+        return write_overwrite(spark.table(source), name, path)
+    location = table_location(spark, source)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+    tag_lineage(spark, name, {IMMUTABLE: "true"})
+    return name
 
 
 def tag_lineage(spark: SparkSession, table: str, tags: dict[str, str]) -> str:
