@@ -9,6 +9,7 @@ read back.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from .basic import DAILY, EXPLAINED, PREDS, RAW1, RAW2
 from .model import _eval_sql
 
 CONF = ", ".join(K.CONFORMED_COLUMNS)
+RAW1_COLS = ", ".join(K.SCHEMA1.fieldNames())
 RAW1_SHIFT, RAW2_SHIFT = 221, 288   # landed month = order month + shift (1995-01 -> 2013-06, 1998-01 -> 2022-01)
 
 CONFORMED_ORDERS = """conformed AS (
@@ -156,19 +158,23 @@ def append_files_to_raw(spark, sf_dir):
     return spark.table(name).select(*K.CONFORMED_COLUMNS)
 
 
-@register("empty_table")
+@register("empty_table", with_ctes(RAW1) + f"SELECT {RAW1_COLS} FROM raw1")
 def empty_table(spark, sf_dir):
+    """The schema1 raw table created empty, then the schema1 rows appended to it."""
     name = _name("raw_schema1")
     AF.empty_table(spark, name, K.SCHEMA1, scratch_path(spark, "tables", name))
+    A.write_append(fx.raw_schema1(spark, sf_dir).select(*K.SCHEMA1.fieldNames()), name)
     return spark.table(name)
 
 
-@register("table_like")
+@register("table_like", with_ctes(TRIPS) + "SELECT * FROM trips")
 def table_like(spark, sf_dir):
+    """An empty table shaped like TRIPS, then filled from it."""
     src = _name("trips_src")
     A.write_overwrite(fx.trips(spark, sf_dir), src, scratch_path(spark, "tables", src))
     name = _name("trips_like")
     AF.table_like(spark, src, name, scratch_path(spark, "tables", name))
+    A.write_append(spark.table(src), name)
     return spark.table(name)
 
 
@@ -233,12 +239,22 @@ def tag_lineage(spark, sf_dir):
     return A.read_tags(spark, name).filter(F.col("key") == "model_id")
 
 
-@register("reset_database")
+@register("reset_database", """
+SELECT 'raw_schema1' AS TABLE_NAME, count(*) AS N_ROWS FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT 'raw_schema2', count(*) FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
 def reset_database(spark, sf_dir):
+    """Drop and recreate the database with its empty raw tables, load them,
+    and report the rows of every table the database holds."""
     db = _name("velocast")
     A.reset_database(spark, db, {"RAW_schema1": K.SCHEMA1, "RAW_schema2": K.SCHEMA2},
                      scratch_path(spark, "db", db))
-    return spark.sql(f"SHOW TABLES IN {db}").filter(~F.col("isTemporary"))
+    A.write_append(fx.raw_schema1(spark, sf_dir).select(*K.SCHEMA1.fieldNames()), f"{db}.RAW_schema1")
+    A.write_append(fx.raw_schema2(spark, sf_dir).select(*K.SCHEMA2.fieldNames()), f"{db}.RAW_schema2")
+    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {db}").filter(~F.col("isTemporary")).collect()]
+    counts = [spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("N_ROWS"))
+              .select(F.lit(t).alias("TABLE_NAME"), "N_ROWS") for t in sorted(names)]
+    return reduce(lambda a, b: a.unionByName(b), counts)
 
 
 @register("local_to_table", with_ctes(TRIPS) + """
