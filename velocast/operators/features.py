@@ -34,10 +34,11 @@ def feature_table(trips: DataFrame, holidays: DataFrame, weather: DataFrame,
     Plan: one partial+final aggregate shuffled on (station, day); one shuffle
     on station shared by the lag, day-count and max-date windows (the DATE
     joins are broadcast and keep that partitioning).  The latest date is a
-    scalar subquery over the raw trips, not a driver collect.
+    scalar subquery, not a driver collect: max(DATE) of the daily relation
+    (Catalyst reduces it to a max over the one scanned time column).
     """
     daily = R.daily_counts(trips, station_col, time_col)
-    latest = trips.select(F.to_date(F.max(time_col))).scalar()
+    latest = daily.select(F.max(DATE)).scalar()
     feats = R.lag_features(daily, lags).na.drop(how="any")
     feats = R.join_left_holiday(feats, holidays)
     feats = R.join_inner_weather(feats, weather)
