@@ -23,6 +23,9 @@ ROWS2 = ['ABC123,classic_bike,2021-03-01 08:00:01.345,2021-03-01 08:20:00,"Main
          'X,6000.02,40.1,-73.1,40.2,-73.2,member']
 
 
+from conftest import SF001  # noqa: E402
+
+
 def _tmp():
     return tempfile.mkdtemp(prefix="velocast-test-")
 
@@ -101,6 +104,14 @@ def test_merge_golden(spark):
     assert out == {1: "a2", 3: "c", 4: "d2", None: "n2"}
 
 
+def test_merge_shuffled_path_matches_broadcast_path(spark):
+    from velocast import fixtures as fx
+    target, changes = fx.order_rows(spark, SF001), fx.changes(spark, SF001)
+    small = J.merge_changes(target, changes, ["ORDERKEY"])
+    spread = J.merge_changes(target, changes, ["ORDERKEY"], max_broadcast_keys=1)
+    assert sorted(small.collect(), key=str) == sorted(spread.collect(), key=str)
+
+
 def test_merge_empty_batch_is_identity(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert sorted(J.merge_changes(_target(spark), empty, ["K"]).collect(), key=str) == \
