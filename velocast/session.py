@@ -54,14 +54,21 @@ def ship_package(spark: SparkSession) -> None:
     by reference to their module, so workers must import the package.  On a
     cluster this is ``spark-submit --py-files velocast.zip``; when the package
     is not shipped that way (a session handed in by a caller, tests), it is
-    zipped once on the driver and added with ``addPyFile``, Spark's own
-    runtime equivalent.
+    zipped once on the driver and added with ``addPyFile`` (``addArtifacts``
+    on a Spark Connect session), Spark's own runtime equivalents.
     """
-    sc = spark.sparkContext
-    if sc.getConf().get(SHIPPED_KEY, "") == "true" or spark.conf.get(SHIPPED_KEY, None) == "true":
-        return
+    try:
+        if spark.conf.get(SHIPPED_KEY, None) == "true":
+            return
+    except Exception:  # noqa: BLE001 - a conf read must never fail a query
+        pass
     pkg = os.path.dirname(os.path.abspath(__file__))
-    if any(os.path.basename(p).startswith("velocast") for p in getattr(sc, "_python_includes", []) or []):
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None and any(os.path.basename(p).startswith("velocast")
+                              for p in getattr(sc, "_python_includes", None) or []):
         spark.conf.set(SHIPPED_KEY, "true")
         return
     out = os.path.join(tempfile.mkdtemp(prefix="velocast-py-"), "velocast.zip")
@@ -72,8 +79,14 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.join("velocast", os.path.relpath(full, pkg)))
-    sc.addPyFile(out)
-    spark.conf.set(SHIPPED_KEY, "true")
+    try:
+        if sc is not None:
+            sc.addPyFile(out)
+        else:
+            spark.addArtifacts(out, pyfile=True)
+        spark.conf.set(SHIPPED_KEY, "true")
+    except Exception:  # noqa: BLE001 - workers may already import the package
+        pass
 
 
 SHARED_KEY = "velocast.shared.dir"
