@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,33 +53,86 @@ def transform_trips(raw1: DataFrame, raw2: DataFrame) -> DataFrame:
     })
 
 
+# TRIPS is a view over an append-only table partitioned by load number.
+LOAD = "LOAD_ID"
+LOADS_TABLE, LAST_LOAD = "velocast.loads_table", "velocast.last_load"
+
+
+def _db_location(spark: SparkSession, database: str) -> str:
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
+
+def publish_loads(spark: SparkSession, view: str, storage: str, last: int) -> str:
+    """(Re)define ``view`` as the conformed columns of loads 1..``last`` of ``storage``.
+
+    Replacing the view is the commit point of a load: readers never see a
+    load that is still being written.  A copy of this definition is a
+    zero-copy snapshot, because loads are never rewritten.
+    """
+    spark.sql(f"""CREATE OR REPLACE VIEW {view}
+        TBLPROPERTIES ('{LOADS_TABLE}' = '{storage}', '{LAST_LOAD}' = '{int(last)}', '{C.IMMUTABLE}' = 'true')
+        AS SELECT {", ".join(CONFORMED_COLUMNS)} FROM {storage} WHERE {LOAD} <= {int(last)}""")
+    return view
+
+
+def loads_of(spark: SparkSession, view: str) -> tuple[str, int] | None:
+    """(storage table, last load) of a TRIPS load view; None for anything else."""
+    if not spark.catalog.tableExists(view):
+        return None
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+    if LOADS_TABLE not in props:
+        return None
+    return props[LOADS_TABLE], int(props[LAST_LOAD])
+
+
 def write_trips(spark: SparkSession, cfg: RunConfig, path: str | None = None) -> str:
-    """K1 as a table rebuild: TRIPS := transform(raw schema1, raw schema2).
+    """K1 as a full rebuild: TRIPS := transform(raw schema1, raw schema2).
+
+    The rows become load 1 of a fresh load table (a new folder, so snapshots
+    of an earlier TRIPS keep their files), and TRIPS is published over it.
+    """
+    t = transform_trips(spark.table(f"{cfg.database}.{cfg.raw('schema1')}"),
+                        spark.table(f"{cfg.database}.{cfg.raw('schema2')}"))
+    storage = f"{cfg.database}.{cfg.trips}_loads_{uuid.uuid4().hex[:8]}".lower()
+    root = path or f"{_db_location(spark, cfg.database)}/{storage.split('.', 1)[1]}"
+    (t.withColumn(LOAD, F.lit(1)).write.mode("overwrite").partitionBy(LOAD)
+       .option("path", root).saveAsTable(storage))
+    return publish_loads(spark, f"{cfg.database}.{cfg.trips}", storage, 1)
+
+
+def append_trips(spark: SparkSession, cfg: RunConfig, rows: DataFrame) -> str:
+    """K1 for new rows only: the conformed rows of newly landed files become the
+    next load partition; nothing already loaded is read or rewritten.
 
-    Each rebuild lands in a fresh folder under ``path`` (default: next to the
-    database's tables), so a run's snapshot of TRIPS costs no copy.
+    The transform is row by row, so this equals a full rebuild from raw.
     """
-    t = transform_trips(spark.table(cfg.raw("schema1")), spark.table(cfg.raw("schema2")))
-    if not path:
-        db = spark.catalog.currentDatabase()
-        path = f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{cfg.trips.lower()}_versions"
-    return C.write_immutable(t, cfg.trips, path)
+    view = f"{cfg.database}.{cfg.trips}"
+    storage, last = loads_of(spark, view)
+    rows.withColumn(LOAD, F.lit(last + 1)).write.mode("append").partitionBy(LOAD).saveAsTable(storage)
+    return publish_loads(spark, view, storage, last + 1)
 
 
 def incremental_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame,
                     paths: dict[str, str] | None = None) -> str:
-    """K2: route landed files (A2), append each version's files (A6), rebuild TRIPS (K1).
+    """K2: route landed files (A2), append each version's files (A6), then load TRIPS (K1).
 
     ``landed`` is a file listing (A5) with PATH and NAME; the routing is a
     Spark expression, the per-version file lists are bounded by the number
-    of monthly files.
+    of monthly files.  When TRIPS already exists as a load view only the new
+    files are conformed and appended; otherwise TRIPS is built from raw.
     """
     paths = paths or {}
     routed = A.route_files(landed, "NAME").select("PATH", "VERSION")
+    new = {}
     for version, schema in SCHEMAS.items():
         files = [r["PATH"] for r in routed.filter(F.col("VERSION") == version).select("PATH").collect()]
-        A.append_files_to_raw(spark, files, schema, cfg.raw(version), paths.get(version))
-    return write_trips(spark, cfg, paths.get("trips"))
+        A.append_files_to_raw(spark, files, schema, f"{cfg.database}.{cfg.raw(version)}", paths.get(version))
+        new[version] = files
+    if loads_of(spark, f"{cfg.database}.{cfg.trips}") is None:
+        return write_trips(spark, cfg, paths.get("trips"))
+    rows = transform_trips(A.read_files(spark, new["schema1"], SCHEMA1),
+                           A.read_files(spark, new["schema2"], SCHEMA2))
+    return append_trips(spark, cfg, rows)
 
 
 def bulk_months(spark: SparkSession, first: str = "2013-06-01", last: str = "2019-12-01") -> DataFrame:

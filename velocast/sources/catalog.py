@@ -71,11 +71,19 @@ def snapshot_table(spark: SparkSession, source: str, name: str, path: str | None
 
     When ``source`` was written by ``write_immutable`` its folder never
     changes, so the snapshot is a second external table over the same files
-    (zero-copy, like a clone).  Any other table is copied.
+    (zero-copy, like a clone).  A view marked immutable (TRIPS over its
+    committed loads) is snapshotted as a second view with the same text.
+    Any other table is copied.
     """
     props = {r["key"]: r["value"] for r in read_tags(spark, source).collect()}
     if props.get(IMMUTABLE) != "true":
         return write_overwrite(spark.table(source), name, path)
+    if is_view(spark, source):
+        text = (spark.sql(f"DESCRIBE TABLE EXTENDED {source}")
+                .filter("col_name = 'View Text'").collect()[0]["data_type"])
+        keep = ", ".join(f"'{k}' = '{v}'" for k, v in props.items() if k.startswith("velocast."))
+        spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({keep}) AS {text}")
+        return name
     location = table_location(spark, source)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
@@ -83,10 +91,15 @@ def snapshot_table(spark: SparkSession, source: str, name: str, path: str | None
     return name
 
 
+def is_view(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.getTable(table).tableType == "VIEW"
+
+
 def tag_lineage(spark: SparkSession, table: str, tags: dict[str, str]) -> str:
-    """Attach properties such as model_id to a table."""
+    """Attach properties such as model_id to a table (or view)."""
     props = ", ".join(f"'{k}' = '{v}'" for k, v in tags.items())
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({props})")
+    kind = "VIEW" if is_view(spark, table) else "TABLE"
+    spark.sql(f"ALTER {kind} {table} SET TBLPROPERTIES ({props})")
     return table
 
 

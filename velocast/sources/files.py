@@ -137,14 +137,8 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
                      F.col("length").alias("LENGTH"), F.col("modificationTime").alias("MODIFIED"))
 
 
-def append_files_to_raw(spark: SparkSession, files: list[str], schema: T.StructType,
-                        table: str, path: str | None = None) -> int:
-    """Append the listed files to ``table``; no files -> nothing happens.
-
-    Returns the number of files appended.
-    """
-    if not files:
-        return 0
+def read_files(spark: SparkSession, files: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of the listed landed files (gzip/plain CSV and zip archives); none -> empty."""
     csv = [f for f in files if not f.endswith(".zip")]
     zips = [f for f in files if f.endswith(".zip")]
     parts = []
@@ -152,10 +146,23 @@ def append_files_to_raw(spark: SparkSession, files: list[str], schema: T.StructT
         parts.append(read_trips_csv(spark, csv, schema))
     if zips:
         parts.append(unpack_zip_csv(spark, zips, schema))
+    if not parts:
+        return spark.createDataFrame([], schema)
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p)
-    w = df.write.mode("append")
+    return df
+
+
+def append_files_to_raw(spark: SparkSession, files: list[str], schema: T.StructType,
+                        table: str, path: str | None = None) -> int:
+    """Append the listed files to ``table``; no files -> nothing happens.
+
+    Returns the number of files appended.
+    """
+    if not files:
+        return 0
+    w = read_files(spark, files, schema).write.mode("append")
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
