@@ -37,7 +37,14 @@ def feature_table(trips: DataFrame, holidays: DataFrame, weather: DataFrame,
     scalar subquery, not a driver collect: max(DATE) of the daily relation
     (Catalyst reduces it to a max over the one scanned time column).
     """
-    daily = R.daily_counts(trips, station_col, time_col)
+    return feature_table_daily(R.daily_counts(trips, station_col, time_col), holidays, weather,
+                               lags, min_days)
+
+
+def feature_table_daily(daily: DataFrame, holidays: DataFrame, weather: DataFrame,
+                        lags=LAGS, min_days: int = MIN_DAYS) -> DataFrame:
+    """H3 from a (STATION_ID, DATE, COUNT) relation, e.g. the per-load daily
+    counts kept next to TRIPS, so a run need not scan the trips again."""
     latest = daily.select(F.max(DATE)).scalar()
     feats = R.lag_features(daily, lags).na.drop(how="any")
     feats = R.join_left_holiday(feats, holidays)
@@ -71,7 +78,13 @@ def forecast_calendar(trips: DataFrame, holidays: DataFrame, weather: DataFrame,
     The date range comes from a one-row aggregate (no collect); holidays are
     right-joined onto the weather days that fall into that range.
     """
-    start = F.date_add(trips.select(F.to_date(F.max(time_col))).scalar(), 1)
+    return forecast_calendar_from(trips.select(F.to_date(F.max(time_col))), holidays, weather, steps)
+
+
+def forecast_calendar_from(latest: DataFrame, holidays: DataFrame, weather: DataFrame,
+                           steps: int = FORECAST_STEPS) -> DataFrame:
+    """H5 from a one-row relation holding the last trip date."""
+    start = F.date_add(latest.scalar(), 1)
     w = weather.select(DATE, "PRECIP", "TEMP").filter(
         (F.col(DATE) >= start) & (F.col(DATE) <= F.date_add(start, steps)))
     h = checked_broadcast(holidays.select(DATE, "HOLIDAY"), R.DAY_DIM_MAX_ROWS)

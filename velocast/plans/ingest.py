@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..config import RunConfig
 from ..functions.dates import normalize_datetime, parse_timestamp
+from ..operators.relational import COUNT, DATE, STATION, daily_counts
 from ..sources import catalog as C
 from ..sources import files as A
 
@@ -53,9 +54,10 @@ def transform_trips(raw1: DataFrame, raw2: DataFrame) -> DataFrame:
     })
 
 
-# TRIPS is a view over an append-only table partitioned by load number.
+# TRIPS is a view over an append-only table partitioned by load number; a
+# second table holds each load's (station, day) counts.
 LOAD = "LOAD_ID"
-LOADS_TABLE, LAST_LOAD = "velocast.loads_table", "velocast.last_load"
+LOADS_TABLE, LAST_LOAD, DAILY_TABLE = "velocast.loads_table", "velocast.last_load", "velocast.daily_table"
 
 
 def _db_location(spark: SparkSession, database: str) -> str:
@@ -70,7 +72,8 @@ def publish_loads(spark: SparkSession, view: str, storage: str, last: int) -> st
     zero-copy snapshot, because loads are never rewritten.
     """
     spark.sql(f"""CREATE OR REPLACE VIEW {view}
-        TBLPROPERTIES ('{LOADS_TABLE}' = '{storage}', '{LAST_LOAD}' = '{int(last)}', '{C.IMMUTABLE}' = 'true')
+        TBLPROPERTIES ('{LOADS_TABLE}' = '{storage}', '{DAILY_TABLE}' = '{storage}_daily',
+                       '{LAST_LOAD}' = '{int(last)}', '{C.IMMUTABLE}' = 'true')
         AS SELECT {", ".join(CONFORMED_COLUMNS)} FROM {storage} WHERE {LOAD} <= {int(last)}""")
     return view
 
@@ -85,6 +88,33 @@ def loads_of(spark: SparkSession, view: str) -> tuple[str, int] | None:
     return props[LOADS_TABLE], int(props[LAST_LOAD])
 
 
+def _write_daily(spark: SparkSession, storage: str, load: int, root: str | None = None) -> None:
+    """The (station, day) counts of one load, read from that load's partition only."""
+    rows = spark.table(storage).where(F.col(LOAD) == load)
+    daily = daily_counts(rows).withColumn(LOAD, F.lit(load))
+    w = daily.write.partitionBy(LOAD)
+    if root:
+        w.mode("overwrite").option("path", root).saveAsTable(f"{storage}_daily")
+    else:
+        w.mode("append").saveAsTable(f"{storage}_daily")
+
+
+def daily_of(spark: SparkSession, view: str) -> DataFrame | None:
+    """D1 for a TRIPS load view (or its snapshot): per (station, day) the sum of
+    the counts of loads 1..last, without reading the trips; None otherwise.
+
+    A day whose trips arrived in two loads is summed, so this equals D1 over
+    the view's rows.
+    """
+    if not spark.catalog.tableExists(view):
+        return None
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {view}").collect()}
+    if DAILY_TABLE not in props:
+        return None
+    per_load = spark.table(props[DAILY_TABLE]).where(F.col(LOAD) <= int(props[LAST_LOAD]))
+    return per_load.groupBy(STATION, DATE).agg(F.sum(COUNT).alias(COUNT))
+
+
 def write_trips(spark: SparkSession, cfg: RunConfig, path: str | None = None) -> str:
     """K1 as a full rebuild: TRIPS := transform(raw schema1, raw schema2).
 
@@ -97,6 +127,7 @@ def write_trips(spark: SparkSession, cfg: RunConfig, path: str | None = None) ->
     root = path or f"{_db_location(spark, cfg.database)}/{storage.split('.', 1)[1]}"
     (t.withColumn(LOAD, F.lit(1)).write.mode("overwrite").partitionBy(LOAD)
        .option("path", root).saveAsTable(storage))
+    _write_daily(spark, storage, 1, root + "_daily")
     return publish_loads(spark, f"{cfg.database}.{cfg.trips}", storage, 1)
 
 
@@ -109,6 +140,7 @@ def append_trips(spark: SparkSession, cfg: RunConfig, rows: DataFrame) -> str:
     view = f"{cfg.database}.{cfg.trips}"
     storage, last = loads_of(spark, view)
     rows.withColumn(LOAD, F.lit(last + 1)).write.mode("append").partitionBy(LOAD).saveAsTable(storage)
+    _write_daily(spark, storage, last + 1)
     return publish_loads(spark, view, storage, last + 1)
 
 

@@ -17,16 +17,12 @@ from ..functions.calendar import holidays_for_range
 from ..operators import evaluate as EV
 from ..operators import features as H
 from ..operators import model as M
+from ..operators import relational as R
 from ..sources import catalog as A
 from ..streaming import changes as J
 from . import ingest as K
 
 
-def _year_bounds(trips: DataFrame) -> DataFrame:
-    return trips.agg(F.make_date(F.year(F.min("STARTTIME")), F.lit(1), F.lit(1)).alias("START"),
-                     F.make_date(F.year(F.max("STARTTIME")), F.lit(12), F.lit(31)).alias("END"))
-
-
 def model_steps(spark: SparkSession, cfg: RunConfig, weather_source: DataFrame, run_date: str) -> dict:
     """Holidays -> weather -> features -> forecast -> train -> predict/explain ->
     evaluate -> flatten, every table tagged with the run's model_id."""
@@ -35,14 +31,21 @@ def model_steps(spark: SparkSession, cfg: RunConfig, weather_source: DataFrame,
     snap = f"{cfg.trips}_{model_id}"
     A.snapshot_table(spark, cfg.trips, snap)                                   # A14
     A.tag_lineage(spark, snap, tag)                                            # A15
-    trips = spark.table(snap)
-
-    A.write_overwrite(holidays_for_range(_year_bounds(trips)), cfg.holidays)   # H1
+    # D1 for the snapshot: summed per-load daily counts when TRIPS is a load
+    # view (no trip is read again), else aggregated from the trips
+    daily = K.daily_of(spark, snap)
+    if daily is None:
+        daily = R.daily_counts(spark.table(snap))
+    bounds = daily.agg(F.make_date(F.year(F.min("DATE")), F.lit(1), F.lit(1)).alias("START"),
+                       F.make_date(F.year(F.max("DATE")), F.lit(12), F.lit(31)).alias("END"))
+
+    A.write_overwrite(holidays_for_range(bounds), cfg.holidays)                 # H1
     A.create_view(H.weather_daily(weather_source, cfg.postcode), cfg.weather)  # H2 + A12
     holidays, weather = spark.table(cfg.holidays), spark.table(cfg.weather)
 
-    A.write_overwrite(H.feature_table(trips, holidays, weather, cfg.lags, cfg.min_days), cfg.features)
-    A.write_overwrite(H.forecast_calendar(trips, holidays, weather, cfg.steps), cfg.forecast)
+    A.write_overwrite(H.feature_table_daily(daily, holidays, weather, cfg.lags, cfg.min_days), cfg.features)
+    A.write_overwrite(H.forecast_calendar_from(daily.select(F.max("DATE")), holidays, weather, cfg.steps),
+                      cfg.forecast)
     features, calendar = spark.table(cfg.features), spark.table(cfg.forecast)
 
     A.write_overwrite(M.train_per_station(features, cfg.lags, cfg.cutpoint, cfg.alpha), cfg.coefficients)
