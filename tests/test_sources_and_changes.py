@@ -227,6 +227,14 @@ def test_incremental_loads_equal_full_rebuild(spark):
     full = K.transform_trips(spark.table(f"{db}.{cfg.raw('schema1')}"), spark.table(f"{db}.{cfg.raw('schema2')}"))
     assert sorted(spark.table(f"{db}.TRIPS").collect(), key=str) == sorted(full.collect(), key=str)
     assert spark.table(f"{db}.TRIPS_first").count() == first < full.count()   # the snapshot kept its state
+    # a load retried before it was published rewrites its own partition only
+    storage, last = K.loads_of(spark, f"{db}.TRIPS")
+    extra = K.transform_trips(spark.table(f"{db}.{cfg.raw('schema1')}").limit(3),
+                              spark.createDataFrame([], K.SCHEMA2))
+    K._insert_load(spark, extra, storage, last + 1)
+    K._insert_load(spark, extra, storage, last + 1)
+    assert spark.table(storage).where(F.col(K.LOAD) == last + 1).count() == 3
+    assert spark.table(f"{db}.TRIPS").count() == full.count()             # unpublished: not visible
     # the per-load daily counts equal D1 over the rows, for TRIPS and for its snapshot
     from velocast.operators.relational import daily_counts
     for name in ("TRIPS", "TRIPS_first"):

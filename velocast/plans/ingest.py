@@ -88,15 +88,31 @@ def loads_of(spark: SparkSession, view: str) -> tuple[str, int] | None:
     return props[LOADS_TABLE], int(props[LAST_LOAD])
 
 
+def _insert_load(spark: SparkSession, rows: DataFrame, table: str, load: int) -> None:
+    """Write ``rows`` as partition ``load`` of ``table``, replacing only that partition.
+
+    A load is uncommitted until the view names it, so a retried load simply
+    rewrites its own partition (no duplicates); other loads are untouched.
+    """
+    cols = [c for c in spark.table(table).columns if c != LOAD]
+    view = f"_velocast_load_{uuid.uuid4().hex[:10]}"
+    rows.select(*cols).createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD} = {int(load)}) "
+                  f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def _write_daily(spark: SparkSession, storage: str, load: int, root: str | None = None) -> None:
     """The (station, day) counts of one load, read from that load's partition only."""
     rows = spark.table(storage).where(F.col(LOAD) == load)
-    daily = daily_counts(rows).withColumn(LOAD, F.lit(load))
-    w = daily.write.partitionBy(LOAD)
+    daily = daily_counts(rows)
     if root:
-        w.mode("overwrite").option("path", root).saveAsTable(f"{storage}_daily")
+        (daily.withColumn(LOAD, F.lit(load)).write.partitionBy(LOAD)
+         .mode("overwrite").option("path", root).saveAsTable(f"{storage}_daily"))
     else:
-        w.mode("append").saveAsTable(f"{storage}_daily")
+        _insert_load(spark, daily, f"{storage}_daily", load)
 
 
 def daily_of(spark: SparkSession, view: str) -> DataFrame | None:
@@ -139,7 +155,7 @@ def append_trips(spark: SparkSession, cfg: RunConfig, rows: DataFrame) -> str:
     """
     view = f"{cfg.database}.{cfg.trips}"
     storage, last = loads_of(spark, view)
-    rows.withColumn(LOAD, F.lit(last + 1)).write.mode("append").partitionBy(LOAD).saveAsTable(storage)
+    _insert_load(spark, rows, storage, last + 1)
     _write_daily(spark, storage, last + 1)
     return publish_loads(spark, view, storage, last + 1)
 
