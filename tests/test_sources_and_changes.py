@@ -160,6 +160,20 @@ def test_stream_merge_and_replay_idempotent(spark):
     assert {r["K"]: r["V"] for r in J.current_state(spark, target).collect()}.get(7) == "g"
 
 
+def test_expire_versions_keeps_every_live_bucket(spark):
+    base = _tmp()
+    target = f"{base}/target"
+    J.init_target(_target(spark), target, ["K"], buckets=4)
+    sink = J.merge_sink(target, ["K"])
+    for i in range(6):          # six batches, each touching key 1's bucket only
+        sink(spark.createDataFrame([(1, f"v{i}", "DELETE", True, 1), (1, f"v{i}", "INSERT", True, 2)], SCHEMA), i)
+    before = sorted(J.current_state(spark, target).collect(), key=str)
+    removed = J.expire_versions(spark, target, keep=2)
+    assert removed == [0, 1, 2, 3]                # version -1 still holds the untouched buckets
+    assert sorted(J.current_state(spark, target).collect(), key=str) == before
+    assert J.committed_versions(spark, target) == [-1, 4, 5]
+
+
 def test_catalog_helpers(spark):
     d = _tmp()
     name = "t_cat_" + os.path.basename(d).replace("-", "_")

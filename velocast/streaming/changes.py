@@ -246,12 +246,42 @@ def read_version(spark: SparkSession, root: str, below: int | None = None) -> tu
     return v, _read_buckets(spark, root, manifest, T.StructType.fromJson(layout["schema"]))
 
 
-def merge_sink(root: str, keys: list[str]):
+def expire_versions(spark: SparkSession, root: str, keep: int = 10) -> list[int]:
+    """Delete version folders that no longer hold any live bucket; return them.
+
+    The newest ``keep`` committed versions stay (a replayed batch reads the
+    newest version below it), together with every version their manifests
+    still point at.  Older versions, and uncommitted leftovers below the kept
+    range, are removed.
+    """
+    committed = committed_versions(spark, root)
+    if len(committed) <= keep:
+        return []
+    kept = committed[-keep:]
+    live = set(kept)
+    for v in kept:
+        _, manifest = _manifest(spark, root, below=v + 1)
+        live |= {x for x in manifest.values() if x is not None}
+    fs, p, jvm = _fs(spark, root)
+    removed = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("VERSION="):
+            v = int(name.split("=", 1)[1])
+            if v < kept[0] and v not in live:
+                fs.delete(st.getPath(), True)
+                removed.append(v)
+    return sorted(removed)
+
+
+def merge_sink(root: str, keys: list[str], keep_versions: int | None = None):
     """J1 as a ``foreachBatch`` function: empty batch -> no-op; replay-safe.
 
     Version N is written from the newest committed version below N and batch
     N only, so a replayed batch rewrites the same version.  Only the key
-    buckets that occur in the batch are read, merged and rewritten.
+    buckets that occur in the batch are read, merged and rewritten.  With
+    ``keep_versions`` set, versions that hold no live bucket are expired
+    after each commit.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -268,12 +298,14 @@ def merge_sink(root: str, keys: list[str]):
         _write_buckets(merged, root, batch_id, keys, n, touched, manifest)
         if held is not None:
             held.unpersist()
+        if keep_versions:
+            expire_versions(spark, root, keep_versions)
     return apply
 
 
 def stream_merge(spark: SparkSession, changes_dir: str, schema, root: str, keys: list[str],
                  checkpoint: str, available_now: bool = True, interval: str = "1 minute",
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, keep_versions: int | None = None):
     """Change files -> micro-batches -> J1 merge into the versioned target.
 
     Production runs every ``interval``; tests drain what is there with
@@ -283,7 +315,8 @@ def stream_merge(spark: SparkSession, changes_dir: str, schema, root: str, keys:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(changes_dir)
-    w = src.writeStream.foreachBatch(merge_sink(root, keys)).option("checkpointLocation", checkpoint)
+    w = src.writeStream.foreachBatch(merge_sink(root, keys, keep_versions)).option(
+        "checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
