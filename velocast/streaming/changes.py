@@ -284,20 +284,24 @@ def merge_sink(root: str, keys: list[str], keep_versions: int | None = None):
     after each commit.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        layout = _layout(spark, root)
-        n = layout["buckets"]
-        schema = T.StructType.fromJson(layout["schema"])
-        _, manifest = _manifest(spark, root, below=batch_id)
-        # at most n small values: the bucket ids present in the batch
-        touched = sorted(r[0] for r in batch.select(bucket_of(keys, n).alias("_B")).distinct().collect())
-        current = _read_buckets(spark, root, manifest, schema, only=touched)
-        merged, held = merge_plan(current, batch, keys)
-        _write_buckets(merged, root, batch_id, keys, n, touched, manifest)
-        if held is not None:
-            held.unpersist()
+        batch = batch.persist()      # read once: emptiness, buckets and the merge reuse it
+        try:
+            if batch.isEmpty():
+                return
+            spark = batch.sparkSession
+            layout = _layout(spark, root)
+            n = layout["buckets"]
+            schema = T.StructType.fromJson(layout["schema"])
+            _, manifest = _manifest(spark, root, below=batch_id)
+            # at most n small values: the bucket ids present in the batch
+            touched = sorted(r[0] for r in batch.select(bucket_of(keys, n).alias("_B")).distinct().collect())
+            current = _read_buckets(spark, root, manifest, schema, only=touched)
+            merged, held = merge_plan(current, batch, keys)
+            _write_buckets(merged, root, batch_id, keys, n, touched, manifest)
+            if held is not None:
+                held.unpersist()
+        finally:
+            batch.unpersist()
         if keep_versions:
             expire_versions(spark, root, keep_versions)
     return apply
