@@ -147,6 +147,7 @@ def snapshot_diff(before: DataFrame | None, after: DataFrame, keys: list[str]) -
 BUCKET = "VBUCKET"
 # Key buckets of a versioned target; a merge rewrites only the buckets it touches.
 DEFAULT_BUCKETS = 64
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
@@ -209,8 +210,11 @@ def _write_buckets(df: DataFrame, root: str, version: int, keys: list[str], buck
     """Write ``df`` (rows of the ``touched`` buckets) as ``version``, then its manifest."""
     spark = df.sparkSession
     path = f"{root}/VERSION={version}"
-    (df.withColumn(BUCKET, bucket_of(keys, buckets))
-       .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+    # one writer per bucket (not one file per task and bucket); very large
+    # buckets roll over into several files
+    (df.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET)
+       .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+       .partitionBy(BUCKET).parquet(path))
     fs, p, _ = _fs(spark, path)
     written = {int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
                if st.isDirectory() and st.getPath().getName().startswith(f"{BUCKET}=")}
