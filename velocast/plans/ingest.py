@@ -131,14 +131,16 @@ def daily_of(spark: SparkSession, view: str) -> DataFrame | None:
     return per_load.groupBy(STATION, DATE).agg(F.sum(COUNT).alias(COUNT))
 
 
-def write_trips(spark: SparkSession, cfg: RunConfig, path: str | None = None) -> str:
-    """K1 as a full rebuild: TRIPS := transform(raw schema1, raw schema2).
+def write_trips(spark: SparkSession, cfg: RunConfig, path: str | None = None,
+                rows: DataFrame | None = None) -> str:
+    """K1 as a full rebuild: TRIPS := transform(raw schema1, raw schema2), or the
+    given conformed ``rows`` (the change-capture run's interim states).
 
     The rows become load 1 of a fresh load table (a new folder, so snapshots
     of an earlier TRIPS keep their files), and TRIPS is published over it.
     """
-    t = transform_trips(spark.table(f"{cfg.database}.{cfg.raw('schema1')}"),
-                        spark.table(f"{cfg.database}.{cfg.raw('schema2')}"))
+    t = rows if rows is not None else transform_trips(
+        spark.table(f"{cfg.database}.{cfg.raw('schema1')}"), spark.table(f"{cfg.database}.{cfg.raw('schema2')}"))
     storage = f"{cfg.database}.{cfg.trips}_loads_{uuid.uuid4().hex[:8]}".lower()
     root = path or f"{_db_location(spark, cfg.database)}/{storage.split('.', 1)[1]}"
     (t.withColumn(LOAD, F.lit(1)).write.mode("overwrite").partitionBy(LOAD)

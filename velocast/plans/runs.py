@@ -123,5 +123,5 @@ def cdc_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame, changes_dirs
             q.awaitTermination()
         interim[version] = J.current_state(spark, target)
     trips = K.transform_trips(interim["schema1"], interim["schema2"])
-    A.write_overwrite(trips, cfg.trips)
+    K.write_trips(spark, cfg, rows=trips)
     return cfg.trips
