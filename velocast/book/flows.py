@@ -318,7 +318,7 @@ def stream_merge(spark, sf_dir):
     ch.repartition(4, F.pmod(F.col("ORDERKEY"), F.lit(4))).write.mode("overwrite").parquet(changes_dir)
     J.init_target(fx.order_rows(spark, sf_dir), target, KEYS)
     q = J.stream_merge(spark, changes_dir, ch.schema, target, KEYS, checkpoint=f"{base}/_checkpoint",
-                       max_files_per_trigger=2)
+                       max_files_per_trigger=2, keep_versions=2)
     q.awaitTermination()
     return J.current_state(spark, target)
 

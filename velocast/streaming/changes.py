@@ -258,6 +258,7 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 10) -> list[int]
     still point at.  Older versions, and uncommitted leftovers below the kept
     range, are removed.
     """
+    keep = max(int(keep), 2)      # a replay of the newest batch reads the version before it
     committed = committed_versions(spark, root)
     if len(committed) <= keep:
         return []
