@@ -98,7 +98,7 @@ def monthly_run(spark: SparkSession, cfg: RunConfig, landed: DataFrame, weather_
 
 
 def cdc_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame, changes_dirs: dict[str, str],
-            root: str, keys: dict[str, list[str]] | None = None) -> str:
+            root: str, keys: dict[str, list[str]] | None = None, keep_versions: int = 10) -> str:
     """Files -> raw tables -> change streams merged into interim tables -> TRIPS.
 
     The interim tables start from the raw rows (the stream's initial rows),
@@ -119,7 +119,7 @@ def cdc_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame, changes_dirs
         if version in changes_dirs:
             schema = spark.read.parquet(changes_dirs[version]).schema
             q = J.stream_merge(spark, changes_dirs[version], schema, target, keys[version],
-                               checkpoint=f"{root}/_checkpoints/{version}")
+                               checkpoint=f"{root}/_checkpoints/{version}", keep_versions=keep_versions)
             q.awaitTermination()
         interim[version] = J.current_state(spark, target)
     trips = K.transform_trips(interim["schema1"], interim["schema2"])
