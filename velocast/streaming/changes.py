@@ -146,7 +146,9 @@ def snapshot_diff(before: DataFrame | None, after: DataFrame, keys: list[str]) -
 
 BUCKET = "VBUCKET"
 # Key buckets of a versioned target; a merge rewrites only the buckets it touches.
-DEFAULT_BUCKETS = 64
+# Unless given, the count follows the initial size: about ROWS_PER_BUCKET rows each.
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 16_384
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
@@ -235,9 +237,15 @@ def _read_buckets(spark: SparkSession, root: str, manifest: dict, schema: T.Stru
     return spark.read.schema(schema).parquet(*paths)
 
 
-def init_target(df: DataFrame, root: str, keys: list[str], buckets: int = DEFAULT_BUCKETS) -> None:
-    """Initial state (version -1), e.g. the raw table's current rows, split into key buckets."""
+def init_target(df: DataFrame, root: str, keys: list[str], buckets: int | None = None) -> None:
+    """Initial state (version -1), e.g. the raw table's current rows, split into key buckets.
+
+    Without ``buckets`` the count is ceil(rows / ROWS_PER_BUCKET), between 1
+    and MAX_BUCKETS, so a bucket rewrite stays a few files whatever the size.
+    """
     spark = df.sparkSession
+    if buckets is None:
+        buckets = min(MAX_BUCKETS, max(1, -(-df.count() // ROWS_PER_BUCKET)))
     _write_text(spark, f"{root}/_layout.json",
                 json.dumps({"keys": list(keys), "buckets": int(buckets), "schema": df.schema.jsonValue()}))
     _write_buckets(df, root, -1, keys, buckets, list(range(buckets)), {})
