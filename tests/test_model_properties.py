@@ -68,6 +68,19 @@ def test_acf_lag_zero_is_one_and_matches_numpy(spark):
     assert abs(acf[0] - 1.0) < 1e-12
 
 
+def test_acf_series_method_equals_join_method(spark):
+    rng = np.random.default_rng(2)
+    d = _daily(spark, {"S": list(enumerate(rng.integers(0, 30, 120).tolist())),
+                       "T": list(enumerate(rng.integers(0, 5, 40).tolist())),
+                       "C": [(i, 3) for i in range(10)]})          # constant: ACF undefined
+    lags = [0, 1, 2, 7, 39, 40, 41, 119, 130]                     # includes lags past a series' end
+    join = {(r["STATION_ID"], r["LAG"]): r["ACF"] for r in H.autocorrelation(d, lags, method="join").collect()}
+    series = {(r["STATION_ID"], r["LAG"]): r["ACF"] for r in H.autocorrelation(d, lags, method="series").collect()}
+    assert join.keys() == series.keys() and len(join) == 3 * len(lags)
+    for k, v in join.items():
+        assert (v is None and series[k] is None) or abs(v - series[k]) < 1e-12, k
+
+
 def test_time_split_sizes(spark):
     d = _daily(spark, {"A": [(i, 1) for i in range(500)], "B": [(i, 1) for i in range(100)]})
     s = H.time_split(d, 365).groupBy("STATION_ID").agg(F.sum(F.col("IS_VALID").cast("int")).alias("V"))

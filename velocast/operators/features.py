@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..config import CUTPOINT, FORECAST_STEPS, LAGS, MIN_DAYS, WEATHER_POSTCODE
@@ -91,22 +93,32 @@ def forecast_calendar_from(latest: DataFrame, holidays: DataFrame, weather: Data
     return R.join_right_calendar(h, w).orderBy(DATE)
 
 
+# Up to this many lags the ACF is a distributed self-join; beyond it, a
+# vectorised pass over each station's (calendar-bounded) series.
+JOIN_MAX_LAGS = 32
+
+
 def autocorrelation(daily: DataFrame, lags=(1, 7, 30, 60, 90, 365), key: str = STATION,
-                    value: str = COUNT) -> DataFrame:
+                    value: str = COUNT, method: str = "auto") -> DataFrame:
     """H6: sample ACF per station at the given lags (statsmodels' definition).
 
     acf(k) = sum_t (y_t - m)(y_{t+k} - m) / sum_t (y_t - m)^2 over each
-    station's series in date order.  Implemented as an equi-join of the
-    centred series with itself on (station, position + k); the lag list is
-    exploded once, so the work is rows x len(lags), spread over all tasks
-    (the join key includes the position, so a hot station is not one task).
+    station's series in date order.  For a few lags (``method='join'``) it is
+    an equi-join of the centred series with itself on (station, position + k):
+    the work is rows x len(lags), spread over all tasks.  For many lags (the
+    reference plots 400) ``method='series'`` computes all lags in one numpy
+    pass per station (``applyInPandas``); a station's group holds one row per
+    day, so it is bounded by the calendar, not by the number of trips.
     """
+    lags = [int(k) for k in lags]
+    if method == "series" or (method == "auto" and len(lags) > JOIN_MAX_LAGS):
+        return _acf_series(daily, lags, key, value)
     w = Window.partitionBy(key).orderBy(DATE)
     centred = (daily.withColumn("_RN", F.row_number().over(w))
                .withColumn("_D", F.col(value) - F.avg(value).over(Window.partitionBy(key)))
                .select(key, "_RN", "_D"))
     denom = centred.groupBy(key).agg(F.sum(F.col("_D") * F.col("_D")).alias("_DEN"))
-    lag_arr = F.array(*[F.lit(int(k)) for k in lags])
+    lag_arr = F.array(*[F.lit(k) for k in lags])
     left = (centred.select(key, "_RN", "_D", F.explode(lag_arr).alias("LAG"))
             .select(key, "LAG", (F.col("_RN") + F.col("LAG")).alias("_J"), F.col("_D").alias("_A")))
     right = centred.select(key, F.col("_RN").alias("_J"), F.col("_D").alias("_B"))
@@ -119,6 +131,23 @@ def autocorrelation(daily: DataFrame, lags=(1, 7, 30, 60, 90, 365), key: str = S
                     .alias("ACF")))
 
 
+def _acf_series(daily: DataFrame, lags: list[int], key: str, value: str) -> DataFrame:
+    schema = T.StructType([T.StructField(key, daily.schema[key].dataType),
+                           T.StructField("LAG", T.IntegerType()), T.StructField("ACF", T.DoubleType())])
+
+    def acf(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = pdf.sort_values(DATE)[value].astype(float).to_numpy()
+        d = y - y.mean()
+        den = float(d @ d)
+        vals = []
+        for k in lags:
+            num = float(d[:-k] @ d[k:]) if 0 < k < len(d) else (den if k == 0 else 0.0)
+            vals.append(num / den if den > 0 else None)
+        return pd.DataFrame({key: pdf[key].iloc[0], "LAG": lags, "ACF": vals})
+
+    return daily.select(key, DATE, value).groupBy(key).applyInPandas(acf, schema)
+
+
 def time_split(df: DataFrame, cutpoint: int = CUTPOINT, key: str = STATION,
                order: str = DATE) -> DataFrame:
     """H9: IS_VALID = the station's last ``cutpoint`` rows; training is the rest."""
