@@ -212,9 +212,10 @@ def _write_buckets(df: DataFrame, root: str, version: int, keys: list[str], buck
     """Write ``df`` (rows of the ``touched`` buckets) as ``version``, then its manifest."""
     spark = df.sparkSession
     path = f"{root}/VERSION={version}"
-    # one writer per bucket (not one file per task and bucket); very large
-    # buckets roll over into several files
-    (df.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET)
+    # rows clustered by bucket (not one file per task and bucket); AQE splits
+    # a skewed bucket (e.g. many null keys) over several writers and rolls
+    # very large ones into several files
+    (df.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
        .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(BUCKET).parquet(path))
     fs, p, _ = _fs(spark, path)
