@@ -3,24 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from velocast.llm import mixing, simhash
+from velocast.llm import decontam, langid, mixing, pii, simhash
 from velocast.session import scratch_path, ship_package
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go."""
+    ship_package(spark)
+    return langid.reject(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     ship_package(spark)
     return simhash.dedup(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with any benchmark window go."""
+    ship_package(spark)
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; its personal data is masked, and ``n_chars`` follows the new text."""
+    ship_package(spark)
+    masked = pii.mask(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document that is left."""
     ship_package(spark)
     return mixing.mix(docs)
 
 
-STAGES = [("near_dedup", near_dedup), ("mix", mix)]
+STAGES = [("language", language), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
+          ("mask_personal", mask_personal), ("mix", mix)]
 
 #: The stages on fingerprints, language and spans can't be said in SQL.
 ORACLE_SQL = None

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from velocast.llm import mixing, pii, secrets, simhash
+from velocast.llm import decontam, langid, mixing, pii, secrets, simhash
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+@query("op2_decontam")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_langid")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
 @query("op5_pii")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
