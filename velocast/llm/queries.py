@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from velocast.llm import decontam, langid, mixing, pii, secrets, simhash
+from velocast.llm import decontam, html, langid, licenses, mixing, neardup, pii, secrets, simhash, warc
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -53,6 +53,33 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+@query("op3_html")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_licenses")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op4_warc", """
+SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest,
+       CASE WHEN octet_length(encode(h)) < 100 OR page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN octet_length(encode(h)) < 100 OR page_id = f THEN NULL ELSE f END AS refers_to
+FROM (SELECT page_id, h, min(page_id) OVER (PARTITION BY h) AS f
+      FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+@query("op8_neardup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.links(table(spark, sf_dir, "embeddings")).withColumn(
+        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
 @query("op9_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
