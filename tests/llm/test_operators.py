@@ -276,7 +276,7 @@ def test_neardup(got):
 def test_neardup_odd_rows(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [2.0, 2.0]), (None, [1.0, 1.0]), (9, [1.0, 1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    out = {r.vec_id: (r.n_links, r.component_id) for r in neardup.links(df, threshold=-9).collect()}
+    out = {r.vec_id: (r.n_links, r.component_id) for r in neardup.links(df, size=4, threshold=-9).collect()}
     assert out == {1: (0, 1), 2: (0, 2), 3: (0, 3), 4: (0, 4), 5: (0, 5), 6: (3, 6), 7: (3, 6), 8: (3, 6), None: (3, 6), 9: (0, 9)}
     assert neardup.links(df.limit(0)).count() == 0
 
