@@ -87,9 +87,17 @@ def test_category_codes_distributed_rank_matches_local(spark):
     df = part.select(F.when(F.col("p_partkey") % 13 == 0, None)
                      .otherwise(F.concat("p_name", (F.col("p_partkey") % 997).cast("string"))).alias("C"))
     local = category_codes(df, "C").select("C", "CODE").distinct()
-    spread = category_codes(df, "C", max_local_labels=10).select("C", "CODE").distinct()
+    spread = category_codes(df, "C").select("C", "CODE").distinct()
     assert sorted(local.collect(), key=str) == sorted(spread.collect(), key=str)
     labels = sorted(r["C"] for r in df.where(F.col("C").isNotNull()).distinct().collect())
     codes = {r["C"]: r["CODE"] for r in spread.collect()}
     assert [codes[c] for c in labels] == list(range(len(labels)))
     assert codes[None] == -1
+
+
+def test_year_end_trips_have_the_forecast_days_holidays(spark):
+    from velocast.fixtures import trip_year_bounds
+    from velocast.functions.calendar import holidays_for_range
+    t = spark.createDataFrame([(dt.datetime(2019, 12, 31, 5, 0),)], "STARTTIME timestamp")
+    found = {r["DATE"] for r in holidays_for_range(trip_year_bounds(t)).collect()}
+    assert {dt.date(2020, 1, 1), dt.date(2020, 1, 20)} <= found

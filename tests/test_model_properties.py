@@ -68,17 +68,16 @@ def test_acf_lag_zero_is_one_and_matches_numpy(spark):
     assert abs(acf[0] - 1.0) < 1e-12
 
 
-def test_acf_series_method_equals_join_method(spark):
-    rng = np.random.default_rng(2)
-    d = _daily(spark, {"S": list(enumerate(rng.integers(0, 30, 120).tolist())),
-                       "T": list(enumerate(rng.integers(0, 5, 40).tolist())),
+def test_acf_of_null_station_and_refused_lags(spark):
+    import pytest
+    d = _daily(spark, {"S": list(enumerate([1, 4, 2, 8, 5])), None: list(enumerate([1, 4, 2, 8, 5])),
                        "C": [(i, 3) for i in range(10)]})          # constant: ACF undefined
-    lags = [0, 1, 2, 7, 39, 40, 41, 119, 130]                     # includes lags past a series' end
-    join = {(r["STATION_ID"], r["LAG"]): r["ACF"] for r in H.autocorrelation(d, lags, method="join").collect()}
-    series = {(r["STATION_ID"], r["LAG"]): r["ACF"] for r in H.autocorrelation(d, lags, method="series").collect()}
-    assert join.keys() == series.keys() and len(join) == 3 * len(lags)
-    for k, v in join.items():
-        assert (v is None and series[k] is None) or abs(v - series[k]) < 1e-12, k
+    for lags in ([0, 1, 4, 5, 130], list(range(400))):             # lags past a series' end give 0
+        acf = {(r["STATION_ID"], r["LAG"]): r["ACF"] for r in H.autocorrelation(d, lags).collect()}
+        assert len(acf) == 3 * len(lags) and acf["C", 1] is None and acf["S", 130] == 0
+        assert all(acf[None, k] == acf["S", k] for k in lags) and abs(acf["S", 1] + 4 / 30) < 1e-12
+    with pytest.raises(ValueError):
+        H.autocorrelation(d, [-1])
 
 
 def test_time_split_sizes(spark):

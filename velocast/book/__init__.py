@@ -87,7 +87,7 @@ def holidays_cte(bounds_sql: str) -> list[str]:
 
 
 HOLIDAYS = holidays_cte(
-    "SELECT make_date(year(min(STARTTIME)), 1, 1) AS S, make_date(year(max(STARTTIME)), 12, 31) AS E FROM trips")
+    "SELECT make_date(year(min(STARTTIME)), 1, 1) AS S, make_date(year(CAST(max(STARTTIME) AS DATE) + 31), 12, 31) AS E FROM trips")
 
 BASE = [TRIPS, WEATHER_SOURCE, WEATHER, *HOLIDAYS]
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .config import FORECAST_STEPS
 from .functions.calendar import holidays_for_range
 from .operators.features import weather_daily
 
@@ -45,9 +46,9 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_year_bounds(t: DataFrame, time_col: str = "STARTTIME") -> DataFrame:
-    """One-row relation: Jan 1 of the first trip year .. Dec 31 of the last."""
+    """One-row relation: Jan 1 of the first trip year .. Dec 31 of the last forecast day's year."""
     return t.agg(F.make_date(F.year(F.min(time_col)), F.lit(1), F.lit(1)).alias("START"),
-                 F.make_date(F.year(F.max(time_col)), F.lit(12), F.lit(31)).alias("END"))
+                 F.make_date(F.year(F.date_add(F.to_date(F.max(time_col)), FORECAST_STEPS + 1)), F.lit(12), F.lit(31)).alias("END"))
 
 
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:

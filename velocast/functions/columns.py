@@ -32,27 +32,14 @@ def first_match_label(value, candidates: list[str]) -> Column:
     return expr
 
 
-# Category labels ranked in one small task when there are at most this many.
-MAX_LOCAL_LABELS = 100_000
-
-
-def category_codes(df: DataFrame, col: str, out: str = "CODE",
-                   max_local_labels: int = MAX_LOCAL_LABELS) -> DataFrame:
+def category_codes(df: DataFrame, col: str, out: str = "CODE") -> DataFrame:
     """code = rank of the label among the sorted distinct labels; NULL -> -1.
 
-    The distinct labels are an aggregated relation.  When it provably holds at
-    most ``max_local_labels`` rows (a bounded, cached count) they are ranked
-    in one small window and broadcast; otherwise the rank is computed over
-    range partitions (``ordinal_of_distinct``) and shuffle-joined, so no task
-    sees all labels and nothing goes through the driver.
+    The distinct labels are ranked over range partitions
+    (``ordinal_of_distinct``), so no task sees all labels and nothing goes
+    through the driver; Spark broadcasts the ranked labels if they are small.
     """
-    from ..session import bounded_cache
-    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    small = bounded_cache(labels, max_local_labels)
-    if small is not None:
-        ranked = F.broadcast(small.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).alias(out)))
-    else:
-        ranked = ordinal_of_distinct(labels, col, out)
+    ranked = ordinal_of_distinct(df.select(col).where(F.col(col).isNotNull()).distinct(), col, out)
     return (df.join(ranked, on=col, how="left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("int")))
 

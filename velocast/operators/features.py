@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..config import CUTPOINT, FORECAST_STEPS, LAGS, MIN_DAYS, WEATHER_POSTCODE
-from ..session import checked_broadcast
 from . import relational as R
 from .clean import null_token_to_null
 
@@ -89,49 +88,22 @@ def forecast_calendar_from(latest: DataFrame, holidays: DataFrame, weather: Data
     start = F.date_add(latest.scalar(), 1)
     w = weather.select(DATE, "PRECIP", "TEMP").filter(
         (F.col(DATE) >= start) & (F.col(DATE) <= F.date_add(start, steps)))
-    h = checked_broadcast(holidays.select(DATE, "HOLIDAY"), R.DAY_DIM_MAX_ROWS)
-    return R.join_right_calendar(h, w).orderBy(DATE)
-
-
-# Up to this many lags the ACF is a distributed self-join; beyond it, a
-# vectorised pass over each station's (calendar-bounded) series.
-JOIN_MAX_LAGS = 32
+    return R.join_right_calendar(holidays, w).orderBy(DATE)
 
 
 def autocorrelation(daily: DataFrame, lags=(1, 7, 30, 60, 90, 365), key: str = STATION,
-                    value: str = COUNT, method: str = "auto") -> DataFrame:
+                    value: str = COUNT) -> DataFrame:
     """H6: sample ACF per station at the given lags (statsmodels' definition).
 
     acf(k) = sum_t (y_t - m)(y_{t+k} - m) / sum_t (y_t - m)^2 over each
-    station's series in date order.  For a few lags (``method='join'``) it is
-    an equi-join of the centred series with itself on (station, position + k):
-    the work is rows x len(lags), spread over all tasks.  For many lags (the
-    reference plots 400) ``method='series'`` computes all lags in one numpy
-    pass per station (``applyInPandas``); a station's group holds one row per
-    day, so it is bounded by the calendar, not by the number of trips.
+    station's series in date order; a null station is a station, negative
+    lags are refused.  All lags are one numpy pass per station: a station's
+    group holds one row per day, so it is bounded by the calendar, not by
+    the number of trips.
     """
     lags = [int(k) for k in lags]
-    if method == "series" or (method == "auto" and len(lags) > JOIN_MAX_LAGS):
-        return _acf_series(daily, lags, key, value)
-    w = Window.partitionBy(key).orderBy(DATE)
-    centred = (daily.withColumn("_RN", F.row_number().over(w))
-               .withColumn("_D", F.col(value) - F.avg(value).over(Window.partitionBy(key)))
-               .select(key, "_RN", "_D"))
-    denom = centred.groupBy(key).agg(F.sum(F.col("_D") * F.col("_D")).alias("_DEN"))
-    lag_arr = F.array(*[F.lit(k) for k in lags])
-    left = (centred.select(key, "_RN", "_D", F.explode(lag_arr).alias("LAG"))
-            .select(key, "LAG", (F.col("_RN") + F.col("LAG")).alias("_J"), F.col("_D").alias("_A")))
-    right = centred.select(key, F.col("_RN").alias("_J"), F.col("_D").alias("_B"))
-    num = (left.join(right, [key, "_J"], "inner")
-           .groupBy(key, "LAG").agg(F.sum(F.col("_A") * F.col("_B")).alias("_NUM")))
-    grid = denom.select(key, "_DEN", F.explode(lag_arr).alias("LAG"))
-    return (grid.join(num, [key, "LAG"], "left")
-            .select(key, F.col("LAG").cast("int").alias("LAG"),
-                    F.when(F.col("_DEN") > 0, F.coalesce(F.col("_NUM"), F.lit(0.0)) / F.col("_DEN"))
-                    .alias("ACF")))
-
-
-def _acf_series(daily: DataFrame, lags: list[int], key: str, value: str) -> DataFrame:
+    if any(k < 0 for k in lags):
+        raise ValueError("lags must not be negative")
     schema = T.StructType([T.StructField(key, daily.schema[key].dataType),
                            T.StructField("LAG", T.IntegerType()), T.StructField("ACF", T.DoubleType())])
 

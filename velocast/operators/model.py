@@ -20,13 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import CUTPOINT, FORECAST_STEPS, LAGS, feature_names
-from ..session import checked_broadcast
 from .features import time_split
 from .relational import COUNT, DATE, STATION, tail_n
 
-# Stations are bounded by the network (hundreds to tens of thousands);
-# 100,000 coefficient rows is ~20 MB, safely broadcastable.
-MAX_STATIONS_BROADCAST = 100_000
 
 
 def _dec(c: str) -> Column:
@@ -115,10 +111,6 @@ def train_per_station(features: DataFrame, lags=LAGS, cutpoint: int = CUTPOINT,
     return fit_from_gram(train_gram(features, lags, cutpoint), lags, alpha)
 
 
-def _coefs_for_join(coefs: DataFrame) -> DataFrame:
-    return checked_broadcast(coefs, MAX_STATIONS_BROADCAST)
-
-
 def linear_prediction(feats: list[str]) -> Column:
     expr = F.col("INTERCEPT")
     for f in feats:
@@ -129,7 +121,7 @@ def linear_prediction(feats: list[str]) -> Column:
 def predict_history(features: DataFrame, coefs: DataFrame, lags=LAGS) -> DataFrame:
     """In-sample PRED for every feature row (a Column expression)."""
     feats = feature_names(lags)
-    joined = features.join(_coefs_for_join(coefs), STATION, "inner")
+    joined = features.join(coefs, STATION, "inner")
     return joined.withColumn("PRED", linear_prediction(feats)).select(*features.columns, "PRED")
 
 
@@ -146,7 +138,7 @@ def explain_columns(feats: list[str]) -> dict[str, Column]:
 def explain_rows(rows: DataFrame, coefs: DataFrame, lags=LAGS) -> DataFrame:
     """Per-row contributions for history or forecast rows."""
     feats = feature_names(lags)
-    joined = rows.join(_coefs_for_join(coefs), STATION, "inner")
+    joined = rows.join(coefs, STATION, "inner")
     return joined.withColumns(explain_columns(feats)).select(
         *rows.columns, *[f"EXPL_{f}" for f in feats])
 
@@ -178,11 +170,11 @@ def forecast_recursive(features: DataFrame, coefs: DataFrame, calendar: DataFram
     last = features.groupBy(STATION).agg(F.max(DATE).alias("_LAST"))
     days = last.select(STATION, F.explode(F.sequence(F.date_add("_LAST", 1),
                                                      F.date_add("_LAST", steps + 1))).alias(DATE))
-    cal = checked_broadcast(calendar.select(DATE, "HOLIDAY", "PRECIP", "TEMP"), steps + 1)
-    fut = (days.join(cal, DATE, "inner")
+    # a day that the calendar lacks stays, with a null prediction, so later lags do not shift
+    fut = (days.join(calendar.select(DATE, "HOLIDAY", "PRECIP", "TEMP"), DATE, "left")
            .select(STATION, DATE, F.lit(None).cast("double").alias(COUNT), F.col("HOLIDAY").cast("int"),
                    F.col("PRECIP").cast("double"), F.col("TEMP").cast("double"), F.lit("F").alias("KIND")))
-    c = _coefs_for_join(coefs.select(STATION, "INTERCEPT", *[f"B_{f}" for f in feats]))
+    c = coefs.select(STATION, "INTERCEPT", *[f"B_{f}" for f in feats])
     rows = hist.unionByName(fut).join(c, STATION, "inner")
 
     out_schema = T.StructType(
@@ -208,7 +200,7 @@ def forecast_recursive(features: DataFrame, coefs: DataFrame, calendar: DataFram
             counts.append(pred)
             out.append([first[STATION], getattr(r, DATE), pred, *lag_vals, r.HOLIDAY, r.PRECIP, r.TEMP, pred])
         res = pd.DataFrame(out, columns=out_schema.fieldNames())
-        for k in [COUNT, *[f"LAG_{k}" for k in lags]]:
+        for k in [COUNT, "HOLIDAY", *[f"LAG_{k}" for k in lags]]:
             res[k] = res[k].astype("Int64")
         return res
 

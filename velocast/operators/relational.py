@@ -16,12 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import checked_broadcast
-
-# A calendar dimension holds at most one row per day; 100,000 rows is
-# ~270 years, far below the broadcast limit.
-DAY_DIM_MAX_ROWS = 100_000
-
 STATION = "STATION_ID"
 DATE = "DATE"
 COUNT = "COUNT"
@@ -34,18 +28,14 @@ def _station_window(key: str = STATION, order: str | None = DATE) -> Window:
 
 # ---------------------------------------------------------------- C: joins
 
-def join_left_holiday(df: DataFrame, holidays: DataFrame,
-                      max_rows: int = DAY_DIM_MAX_ROWS) -> DataFrame:
+def join_left_holiday(df: DataFrame, holidays: DataFrame) -> DataFrame:
     """Left join on DATE, missing HOLIDAY -> 0."""
-    h = checked_broadcast(holidays.select(DATE, "HOLIDAY"), max_rows)
-    return df.join(h, DATE, "left").na.fill({"HOLIDAY": 0})
+    return df.join(holidays.select(DATE, "HOLIDAY"), DATE, "left").na.fill({"HOLIDAY": 0})
 
 
-def join_inner_weather(df: DataFrame, weather: DataFrame,
-                       max_rows: int = DAY_DIM_MAX_ROWS) -> DataFrame:
+def join_inner_weather(df: DataFrame, weather: DataFrame) -> DataFrame:
     """Inner join on DATE; days without weather are dropped."""
-    w = checked_broadcast(weather.select(DATE, "PRECIP", "TEMP"), max_rows)
-    return df.join(w, DATE, "inner")
+    return df.join(weather.select(DATE, "PRECIP", "TEMP"), DATE, "inner")
 
 
 def join_right_calendar(holidays: DataFrame, weather: DataFrame) -> DataFrame:

@@ -37,7 +37,8 @@ def model_steps(spark: SparkSession, cfg: RunConfig, weather_source: DataFrame,
     if daily is None:
         daily = R.daily_counts(spark.table(snap))
     bounds = daily.agg(F.make_date(F.year(F.min("DATE")), F.lit(1), F.lit(1)).alias("START"),
-                       F.make_date(F.year(F.max("DATE")), F.lit(12), F.lit(31)).alias("END"))
+                       # through the forecast's last day, which may lie in the next year
+                       F.make_date(F.year(F.date_add(F.max("DATE"), cfg.steps + 1)), F.lit(12), F.lit(31)).alias("END"))
 
     A.write_overwrite(holidays_for_range(bounds), cfg.holidays)                 # H1
     A.create_view(H.weather_daily(weather_source, cfg.postcode), cfg.weather)  # H2 + A12
@@ -94,7 +95,7 @@ def monthly_run(spark: SparkSession, cfg: RunConfig, landed: DataFrame, weather_
     """K5: incremental load of new files, then the model steps under a new model_id."""
     spark.catalog.setCurrentDatabase(cfg.database)
     K.incremental_elt(spark, cfg, landed)
-    return model_steps(spark, replace(cfg, model_id=f"monthly_{run_date}"), weather_source, run_date)
+    return model_steps(spark, replace(cfg, model_id=cfg.model_id or f"monthly_{run_date}"), weather_source, run_date)
 
 
 def cdc_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame, changes_dirs: dict[str, str],

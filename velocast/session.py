@@ -1,4 +1,4 @@
-"""Spark session, shared-storage paths and size-checked broadcasts."""
+"""Spark session and shared-storage paths."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -105,6 +104,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root and sc.getCheckpointDir():
         root = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"/tmp/velocast-{uuid.uuid4().hex[:8]}"
         spark.conf.set(SHARED_KEY, root)
     if not sc.getCheckpointDir():
@@ -121,30 +122,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def bounded_cache(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` cached, if it provably has at most ``max_rows`` rows; else None.
-
-    The proof is a count of ``df.limit(max_rows + 1)``; that limited relation
-    is what gets cached, so the cache never holds more than ``max_rows + 1``
-    rows and the caller reuses the counted rows instead of computing ``df`` a
-    second time.  Over the bound the cache is dropped at once.  A lost cached
-    block is recomputed from lineage.
-    """
-    lim = df.limit(max_rows + 1).cache()
-    if lim.count() <= max_rows:
-        return lim
-    lim.unpersist()
-    return None
-
-
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only when it provably has at most ``max_rows`` rows.
-
-    Within the bound the broadcast reads the rows cached by the check
-    (``bounded_cache``).  Beyond it the frame is returned unhinted, so the
-    planner and AQE fall back to a shuffled join that scales with the data.
-    """
-    small = bounded_cache(df, max_rows)
-    return F.broadcast(small) if small is not None else df

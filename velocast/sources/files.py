@@ -17,10 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SCHEMA2_FIRST_MONTH
-from ..session import checked_broadcast
 
-# A landing holds at most this many months for a broadcast month table.
-MAX_MONTHS = 100_000
 
 # The two null tokens of the trip files.
 NULL_TOKENS = ("\\N", "NULL")
@@ -95,26 +92,31 @@ def _unzip_lines(batches):
         out = []
         for path in pdf["path"]:
             with _open_uri(path) as raw, zipfile.ZipFile(raw) as zf:
-                member = zf.namelist()[0]
-                with zf.open(member) as fh:
-                    text = io.TextIOWrapper(fh, encoding="utf-8", newline="")
-                    for i, line in enumerate(text):
-                        out.append((path, i, line.rstrip("\r\n")))
-                        if len(out) >= 50_000:
-                            yield pd.DataFrame(out, columns=["PATH", "LINE_NO", "LINE"])
-                            out = []
+                for member in zf.namelist():
+                    if member.endswith("/") or member.startswith("__MACOSX/"):
+                        continue
+                    with zf.open(member) as fh:
+                        text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
+                        for i, line in enumerate(text):
+                            line = line.rstrip("\r\n")
+                            if not line:        # as the CSV reader does
+                                continue
+                            out.append((path, i, line))
+                            if len(out) >= 50_000:
+                                yield pd.DataFrame(out, columns=["PATH", "LINE_NO", "LINE"])
+                                out = []
         if out:
             yield pd.DataFrame(out, columns=["PATH", "LINE_NO", "LINE"])
 
 
 def unpack_zip_csv(spark: SparkSession, paths: list[str] | str, schema: T.StructType,
                    glob: str = "*.zip") -> DataFrame:
-    """A4: read the first CSV member of each zip archive with ``schema``.
+    """A4: read every CSV member of each zip archive with ``schema``.
 
     Only the archive listing is read by Spark (the content column is pruned);
     the listing is spread one archive per task (an explicit partition count,
     which AQE keeps), and each task streams its archive's lines in bounded
-    batches.  The header line of each archive is dropped; fields are parsed
+    batches.  The header line of each member is dropped, empty lines are skipped; fields are parsed
     JVM-side by ``from_csv``.
     """
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
@@ -198,9 +200,8 @@ def stage_monthly_files(df: DataFrame, month_col: str, landing: str, suffix: str
     per_month = (df.groupBy(month_col).agg(F.count(F.lit(1)).alias("_ROWS"))
                  .select(month_col, F.greatest(F.lit(1), F.ceil(F.col("_ROWS") / F.lit(rows_per_file)))
                          .cast("long").alias("_FILES")))
-    # one row per month; broadcast only behind a checked bound
-    months = checked_broadcast(per_month, MAX_MONTHS)
-    salted = df.join(months, month_col).withColumn(
+    months = per_month.withColumnRenamed(month_col, "_LANDING_MONTH")
+    salted = df.join(months, df[month_col].eqNullSafe(months["_LANDING_MONTH"])).drop("_LANDING_MONTH").withColumn(
         "_SALT", F.pmod(F.xxhash64(*df.columns), F.col("_FILES"))).drop("_FILES")
     (salted.repartition(F.col(month_col), F.col("_SALT")).drop("_SALT").write.mode("overwrite")
        .partitionBy(month_col)
@@ -220,7 +221,10 @@ def stage_monthly_files(df: DataFrame, month_col: str, landing: str, suffix: str
         for i, p in enumerate(sorted(parts, key=lambda x: x.getName())):
             tag = "" if len(parts) == 1 else f"-{i}"
             dest = jvm.org.apache.hadoop.fs.Path(landing.rstrip("/") + f"/{month}{suffix.replace('.csv', tag + '.csv')}")
-            fs.rename(p, dest)
+            if fs.exists(dest):     # landed before: replaced
+                fs.delete(dest, False)
+            if not fs.rename(p, dest):
+                raise OSError(f"cannot move {p.toString()} to {dest.toString()}")
             out.append(dest.toString())
     fs.delete(root, True)
     return sorted(out)

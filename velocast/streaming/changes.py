@@ -19,9 +19,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
-from ..session import bounded_cache
 
 ACTION, ISUPDATE, SEQ = "ACTION", "ISUPDATE", "SEQ"
 META = (ACTION, ISUPDATE, SEQ)
@@ -46,65 +46,31 @@ def _key_match(t: DataFrame, c: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [t[k].eqNullSafe(c[k]) for k in keys])
 
 
-# A micro-batch reduced to one change per key is far below this; beyond it the
-# merge falls back to one shuffled full outer join.
-MAX_BROADCAST_KEYS = 2_000_000
-
-
-def _apply(target: DataFrame, red: DataFrame, keys: list[str]) -> DataFrame:
-    """Full-outer merge of ``target`` with one reduced change per key."""
-    data_cols = [c for c in target.columns if c not in keys]
-    t = target.withColumn("_T", F.lit(True)).alias("t")
-    c = red.alias("c")
-    j = t.join(c, _key_match(t, c, keys), "full")
-    matched = F.col("t._T").isNotNull()
-    is_insert = F.col(f"c.{ACTION}") == "INSERT"
-    is_update = F.coalesce(F.col(f"c.{ISUPDATE}"), F.lit(False))
-    take_change = (~matched & is_insert) | (matched & is_insert & is_update)
-    keep_target = matched & (F.col(f"c.{ACTION}").isNull() | (is_insert & ~is_update))
-    return j.filter(take_change | keep_target).select(
-        *[F.when(matched, F.col(f"t.{k}")).otherwise(F.col(f"c.{k}")).alias(k) for k in keys],
-        *[F.when(take_change, F.col(f"c.{x}")).otherwise(F.col(f"t.{x}")).alias(x) for x in data_cols]
-    ).select(*target.columns)
-
-
-def merge_changes(target: DataFrame, changes: DataFrame, keys: list[str],
-                  max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def merge_changes(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Apply change records to ``target`` (returns the new table state).
 
     matched + INSERT + ISUPDATE -> row replaced; matched + DELETE -> removed;
     not matched + INSERT -> inserted; anything else leaves the target as is.
     Columns are matched by name; keys compare null-safely.
 
-    When the reduced change set has at most ``max_broadcast_keys`` keys (a
-    bounded count whose rows are cached and reused), the target is never
-    shuffled: untouched rows pass a broadcast anti-join, and only the touched
-    rows (broadcast semi-join) meet the changes in a small full outer join.
-    Larger change sets use one shuffled full outer join.
-    """
-    return merge_plan(target, changes, keys, max_broadcast_keys)[0]
-
-
-def merge_plan(target: DataFrame, changes: DataFrame, keys: list[str],
-               max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> tuple[DataFrame, DataFrame | None]:
-    """J1 plan plus the cached reduced change set it reads (None if not cached).
-
-    A caller that writes the result (the streaming sink) unpersists the
-    cached changes afterwards.
+    Kept, replaced and removed rows come from one left join of the target with
+    the changes reduced to one per key, which Spark broadcasts if they are
+    small by bytes; inserted rows are those changes that an anti-join against
+    the target's key columns leaves.
     """
     red = reduce_changes(changes.select(*target.columns, *META), keys)
-    small = bounded_cache(red, max_broadcast_keys)
-    if small is None:
-        return _apply(target, red, keys), None
-    if small.isEmpty():
-        small.unpersist()
-        return target, None
-    kb = F.broadcast(small.select(*keys)).alias("k")
-    t = target.alias("t")
-    match = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
-    untouched = t.join(kb, match, "left_anti").select(*target.columns)
-    touched = t.join(kb, match, "left_semi").select(*target.columns)
-    return untouched.unionByName(_apply(touched, small, keys)), small
+    t, c = target.alias("t"), red.alias("c")
+    is_insert = F.col(f"c.{ACTION}") == "INSERT"
+    replaced = is_insert & F.coalesce(F.col(f"c.{ISUPDATE}"), F.lit(False))
+    kept = (t.join(c, _key_match(t, c, keys), "left")
+            .filter(F.col(f"c.{ACTION}").isNull() | is_insert)
+            .select(*[F.col(f"t.{x}") if x in keys else
+                      F.when(replaced, F.col(f"c.{x}")).otherwise(F.col(f"t.{x}")).alias(x)
+                      for x in target.columns]))
+    known = target.select(*keys).alias("k")
+    new = c.filter(is_insert).join(known, reduce(lambda a, b: a & b, [
+        F.col(f"c.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys]), "left_anti")
+    return kept.unionByName(new.select(*[F.col(f"c.{x}") for x in target.columns]))
 
 
 def snapshot_diff(before: DataFrame | None, after: DataFrame, keys: list[str]) -> DataFrame:
@@ -117,9 +83,12 @@ def snapshot_diff(before: DataFrame | None, after: DataFrame, keys: list[str]) -
     if before is None:
         return after.select(*cols, F.lit("INSERT").alias(ACTION), F.lit(False).alias(ISUPDATE))
     data_cols = [c for c in cols if c not in keys]
-    b = before.select(*cols).withColumn("_B", F.lit(True)).alias("b")
-    a = after.select(*cols).withColumn("_A", F.lit(True)).alias("a")
-    j = b.join(a, _key_match(b, a, keys), "full")
+    # rows of one key are numbered in the order of their contents on both sides, so equal
+    # states pair row by row and a repeated or null key does not multiply
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*cols)))
+    b = before.select(*cols).withColumns({"_B": F.lit(True), "_N": nth}).alias("b")
+    a = after.select(*cols).withColumns({"_A": F.lit(True), "_N": nth}).alias("a")
+    j = b.join(a, _key_match(b, a, [*keys, "_N"]), "full")
     in_b, in_a = F.col("b._B").isNotNull(), F.col("a._A").isNotNull()
     same = reduce(lambda x, y: x & y, [F.col(f"b.{x}").eqNullSafe(F.col(f"a.{x}")) for x in data_cols],
                   F.lit(True))
@@ -326,10 +295,7 @@ def merge_sink(root: str, keys: list[str], keep_versions: int | None = None):
             # at most n small values: the bucket ids present in the batch
             touched = sorted(r[0] for r in batch.select(bucket_of(keys, n).alias("_B")).distinct().collect())
             current = _read_buckets(spark, root, manifest, schema, only=touched)
-            merged, held = merge_plan(current, batch, keys)
-            _write_buckets(merged, root, batch_id, keys, n, touched, manifest)
-            if held is not None:
-                held.unpersist()
+            _write_buckets(merge_changes(current, batch, keys), root, batch_id, keys, n, touched, manifest)
         finally:
             batch.unpersist()
         if keep_versions:
