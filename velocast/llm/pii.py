@@ -43,7 +43,7 @@ def base(text: Column) -> Column:
     # a separator that can't stand inside a card number becomes '#'
     card = F.regexp_replace(text, r"(?<![0-9])[ -]|[ -](?![0-9])", "#")
     card = F.when(text.rlike(r"[0-9](?:[ -]?[0-9]){15}"), card).otherwise(F.lit(""))
-    email = matches(mail, EMAIL, "email", text)
+    email = F.when(F.contains(text, F.lit("@")), matches(mail, EMAIL, "email", text)).otherwise(F.array().cast(SPAN))
     ip = F.filter(matches(text, IP, "ip"), lambda x: F.forall(
         F.split(x["value"], r"\."), lambda p: F.length(F.regexp_replace(p, "^0+(?=[0-9])", "")).between(1, 3)
         & (F.substring(F.regexp_replace(p, "^0+(?=[0-9])", ""), 1, 3).cast("int") <= 255)))
@@ -59,18 +59,23 @@ def _loose(text: Column, found: Column) -> Column:
     return F.filter(more, lambda x: ~F.exists(found, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
 
 
-def _votes(c: DataFrame) -> DataFrame:
-    """One column of -1, 0 or 1 for each labeler."""
+def _features(x: Column) -> dict[str, Column]:
+    """Votes (-1, 0 or 1) and features of a candidate (kind, value, is_base, left, right)."""
     yes = lambda cond: F.when(cond, 1).otherwise(0)
-    is_mail = F.col("kind") == "email"
-    return c.withColumns({
-        "v_regex": yes(F.col("is_base")),
-        "v_gazetteer": F.when(is_mail, yes(F.regexp_replace("value", r" ?[\[(]dot[\])] ?", ".").rlike(DOMAINS)))
-        .when(F.col("kind") == "card", yes(F.col("value").rlike("^[3-6]"))).otherwise(-1),
-        "v_context": yes(F.col("left").rlike(CUES)).cast("int"),
-        "v_shape": F.when(F.col("kind") == "phone", yes(digits(F.col("value")).rlike("^1?[2-9][0-9]{9}$")))
-        .when(F.col("kind") == "ip", yes(~F.col("value").rlike(r"^(?:0|127|255)\."))).otherwise(-1),
-    })
+    kind, value = x["kind"], x["value"]
+    return {
+        "kind": kind,
+        "v_regex": yes(x["is_base"]),
+        "v_gazetteer": F.when(kind == "email", yes(F.regexp_replace(value, r" ?[\[(]dot[\])] ?", ".").rlike(DOMAINS)))
+        .when(kind == "card", yes(value.rlike("^[3-6]"))).otherwise(-1),
+        "v_context": yes(x["left"].rlike(CUES)),
+        "v_shape": F.when(kind == "phone", yes(digits(value).rlike("^1?[2-9][0-9]{9}$")))
+        .when(kind == "ip", yes(~value.rlike(r"^(?:0|127|255)\."))).otherwise(-1),
+        "f_cue": x["left"].rlike(CUES).cast("string"),
+        "f_left": F.when(x["left"] == "", "none").when(x["left"].rlike(r"\s$"), "space").otherwise("other"),
+        "f_right": F.when(x["right"] == "", "none").when(x["right"].rlike(r"^[\s.,;:]"), "end").otherwise("other"),
+        "f_length": F.least(F.length(value) / 8, F.lit(6)).cast("int").cast("string"),
+    }
 
 
 LABELERS = ("v_regex", "v_gazetteer", "v_context", "v_shape")
@@ -103,14 +108,24 @@ def em(patterns: dict[tuple, int], rounds: int = 50) -> tuple[dict[tuple, float]
     return post, rate
 
 
-def _scored(cands: DataFrame) -> DataFrame:
-    """``cands`` with ``p``, the final classifier's probability."""
-    v = _votes(cands).withColumns({
-        "f_cue": F.col("left").rlike(CUES).cast("string"),
-        "f_left": F.when(F.col("left") == "", "none").when(F.col("left").rlike(r"\s$"), "space").otherwise("other"),
-        "f_right": F.when(F.col("right") == "", "none").when(F.col("right").rlike(r"^[\s.,;:]"), "end").otherwise("other"),
-        "f_length": F.least(F.length("value") / 8, F.lit(6)).cast("int").cast("string")})
-    # votes and features take few values each: the table of their patterns is bounded by their product
+def _candidates(text: Column, base_spans: Column, more: Column) -> Column:
+    """Base and looser spans with the text beside them."""
+    told = lambda arr, is_base: F.transform(arr, lambda x: F.struct(
+        x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"),
+        F.lit(is_base).alias("is_base"),
+        F.substring(text, F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1, F.least(x["start"], F.lit(CONTEXT))).alias("left"),
+        F.substring(text, x["end"] + 1, F.lit(1)).alias("right")))
+    return F.concat(told(base_spans, True), told(more, False))
+
+
+def train(cands: DataFrame):
+    """The final classifier from the candidates ``x``: a function from a candidate column
+    to its probability.
+
+    Votes and features take few values each, so the table of their patterns that the
+    driver reads is bounded by their product, whatever the corpus.
+    """
+    v = cands.select(*[c.alias(k) for k, c in _features(F.col("x")).items()])
     keys = [*LABELERS, "f_cue", "f_left", "f_right", "f_length"]
     table = v.groupBy("kind", *keys).count().collect()
     votes: dict[tuple, int] = {}
@@ -125,53 +140,54 @@ def _scored(cands: DataFrame) -> DataFrame:
         for f in FEATURES:
             a, b = seen.get((f, str(r[f])), (0.0, 0.0))
             seen[f, str(r[f])] = a + r["count"] * p, b + r["count"] * (1 - p)
-    score = F.lit(math.log(yes / no))
-    for f in FEATURES:
-        rule = F.lit(0.0)
-        for (g, value), (a, b) in sorted(seen.items()):
-            if g == f:
-                rule = F.when(F.col(f).cast("string") == value, math.log((a + 1) / (yes + 2)) - math.log((b + 1) / (no + 2))).otherwise(rule)
-        score = score + rule
-    return v.withColumn("p", 1 / (1 + F.exp(-score)))
+
+    def probability(x: Column) -> Column:
+        score, value = F.lit(math.log(yes / no)), _features(x)
+        for f in FEATURES:
+            rule = F.lit(0.0)
+            for (g, known), (a, b) in sorted(seen.items()):
+                if g == f:
+                    rule = F.when(value[f].cast("string") == known, math.log((a + 1) / (yes + 2)) - math.log((b + 1) / (no + 2))).otherwise(rule)
+            score = score + rule
+        return 1 / (1 + F.exp(-score))
+
+    return probability
 
 
-def find(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` with ``base_spans`` and ``spans`` (arrays of kind, start, end, value; code
-    points, end exclusive), ``spans`` by kind, then start.
+def find(docs: DataFrame, text: str = "text", least: float = 0.5, carried: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``carried``) with ``base_spans`` and ``spans``, arrays of kind,
+    start, end (code points, end exclusive) and value; ``spans`` by kind, then start.
 
     A null text counts as empty and has no spans.  Rows are independent, so repeated rows
     and ids, null ids and extra columns (clashing names included) come through as they are.
+    The text is read once to train and once to decide; without ``text`` in ``carried`` it is
+    read once, as only the candidates are kept.
     """
-    b, m, s = fresh(docs, "base_spans", "more_spans", "spans")
+    b, c, s = fresh(docs, "base_spans", "candidates", "spans")
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    d = docs.withColumn(b, base(t))
-    d = d.withColumn(m, _loose(t, F.col(b)))
-    near = lambda x: F.substring(t, F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1,
-                                 F.least(x["start"], F.lit(CONTEXT)))
-    both = F.concat(F.transform(F.col(b), lambda x: F.struct(x.alias("x"), F.lit(True).alias("is_base"), near(x).alias("left"), F.substring(t, x["end"] + 1, F.lit(1)).alias("right"))),
-                    F.transform(F.col(m), lambda x: F.struct(x.alias("x"), F.lit(False).alias("is_base"), near(x).alias("left"), F.substring(t, x["end"] + 1, F.lit(1)).alias("right"))))
-    cands = keep(d.select(F.inline(both)).select("x.kind", "x.value", "is_base", "left", "right"))
-    scored = _scored(cands).where(~F.col("is_base")).groupBy("kind", "value", "left", "right").agg(F.max("p").alias("p"))
-    good = scored.where(F.col("p") >= least)
-    # only rows with looser candidates meet the classifier's answers
-    (rid,) = fresh(d, "row_key")
-    has = F.size(m) > 0
-    some = keep(d.where(has).withColumn(rid, F.expr("uuid()")))
-    asked = some.select(rid, F.inline(F.transform(F.col(m), lambda x: F.struct(
-        x.alias("x"), near(x).alias("left"), F.substring(t, x["end"] + 1, F.lit(1)).alias("right"))))).select(
-        rid, "x", F.col("x.kind").alias("kind"), F.col("x.value").alias("value"), "left", "right")
-    taken = asked.join(good, ["kind", "value", "left", "right"]).groupBy(rid).agg(F.collect_list("x").alias("\x01more"))
-    order = {k: i for i, k in enumerate(KINDS)}
-    rank = F.create_map(*[F.lit(x) for kv in order.items() for x in kv])
-    full = lambda arr: F.transform(F.array_sort(F.transform(arr, lambda x: F.struct(
-        rank[x["kind"]].alias("r"), x["start"].alias("s"), x.alias("x")))), lambda y: y["x"])
-    with_more = some.join(taken, rid, "left").withColumn(
-        s, full(F.concat(F.col(b), F.coalesce(F.col("\x01more"), F.array().cast(SPAN))))).drop(rid, "\x01more")
-    return d.where(~has).withColumn(s, F.col(b)).unionByName(with_more).drop(m)
+    some = t.rlike("[@0-9]")  # every candidate has one of these
+    light = carried is not None and text not in carried
+    d = docs.withColumn(b, F.when(some, base(t)).otherwise(F.array().cast(SPAN)))
+    d = d.withColumn(c, F.when(some, _candidates(t, F.col(b), _loose(t, F.col(b)))))
+    d = d.withColumn(c, F.coalesce(c, F.expr("filter(array(named_struct('kind','','start',0,'end',0,'value','','is_base',false,'left','','right','')), x -> false)")))
+    if carried is not None:
+        d = d.select(*[F.col(f"`{x}`") for x in carried], b, c)
+    if light:
+        d = keep(d)
+        cands = d.select(F.explode(c).alias("x"))
+    else:
+        cands = keep(d.select(F.explode(c).alias("x")))
+    probability = train(cands)
+    more = F.filter(F.col(c), lambda x: ~x["is_base"] & (probability(x) >= least))
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
+    every = F.concat(F.col(b), F.transform(more, lambda x: F.struct(
+        x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"))))
+    return d.withColumn(s, F.transform(F.array_sort(F.transform(every, lambda x: F.struct(
+        rank[x["kind"]].alias("r"), x["start"].alias("s"), x.alias("x")))), lambda y: y["x"])).drop(c)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    d = find(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text}`").cast("string").alias("text")), "text")
+    d = find(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text}`").cast("string").alias("\x00t")), "\x00t", carried=[id_col])
     n = lambda k: F.size(F.filter("base_spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     return d.select(id_col, *[n(k) for k in KINDS], F.sha2(digest(F.col("base_spans")), 256).alias("base_sha256"),
                     digest(F.col("spans")).alias("spans"))

@@ -42,8 +42,8 @@ def by_start(spans: Column) -> Column:
 
 
 def find(docs: DataFrame, text: str = "text", repository: str = "source", owner: str = "source",
-         owners: int = 2) -> DataFrame:
-    """``docs`` with ``base_spans``, ``spans`` and ``n_live``, how many spans look live.
+         owners: int = 2, carried: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``carried``, which need ``repository`` and ``owner``) with ``base_spans``, ``spans`` and ``n_live``, how many spans look live.
 
     A null text counts as empty.  A null repository or owner counts as one of its own
     name.  Rows are independent but for the corpus counts, where repeated rows add no
@@ -52,10 +52,13 @@ def find(docs: DataFrame, text: str = "text", repository: str = "source", owner:
     b, m, s, live, rid = fresh(docs, "base_spans", "more_spans", "spans", "n_live", "row_key")
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     d = docs.withColumn(b, base(t))
-    d = d.withColumn(m, F.filter(matches(t, LOOSE, "token"), lambda x: ~F.exists(
+    d = d.withColumn(m, F.filter(F.when(t.rlike("[A-Za-z0-9+/_=-]{24}"), matches(t, LOOSE, "token")).otherwise(F.array().cast(SPAN)), lambda x: ~F.exists(
         F.col(b), lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))))
+    if carried is not None:
+        d = d.select(*[F.col(f"`{x}`") for x in carried], b, m)
+    d = keep(d.withColumn(rid, F.monotonically_increasing_id()))  # the text is scanned once
     has = (F.size(b) > 0) | (F.size(m) > 0)
-    some = keep(d.where(has).withColumn(rid, F.expr("uuid()")))
+    some = d.where(has)
     none = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00none"))
     cands = some.select(rid, none(repository).alias("repo"), none(owner).alias("own"),
                         F.explode(F.concat(b, m)).alias("x")).withColumn("hash", F.sha2(secret_of(F.col("x")), 256))
@@ -70,12 +73,12 @@ def find(docs: DataFrame, text: str = "text", repository: str = "source", owner:
         F.sum(F.col("live").cast("long")).alias("\x01live"))
     full = some.join(per, rid).withColumn(s, by_start(F.concat(F.col(b), F.col("\x01more")))).withColumn(
         live, F.col("\x01live")).drop(rid, "\x01more", "\x01live")
-    return d.where(~has).withColumn(s, F.array().cast(SPAN)).withColumn(live, F.lit(0).cast("long")).unionByName(full).drop(m)
+    return d.where(~has).withColumn(s, F.array().cast(SPAN)).withColumn(live, F.lit(0).cast("long")).drop(rid).unionByName(full).drop(m)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     d = find(docs.select(F.col(f"`{id_col}`"), F.col(f"`{source}`").alias("source"),
-                         F.col(f"`{text}`").cast("string").alias("text")))
+                         F.col(f"`{text}`").cast("string").alias("\x00t")), "\x00t", carried=[id_col, "source"])
     n = lambda k: F.size(F.filter("base_spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     return d.select(id_col, *[n(k) for k in KINDS], F.sha2(digest(F.col("base_spans")), 256).alias("base_sha256"),
                     digest(F.col("spans")).alias("spans"), "n_live")
