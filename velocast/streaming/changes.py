@@ -15,6 +15,7 @@ version counts only once its manifest exists.
 from __future__ import annotations
 
 import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,12 +134,18 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p, _ = _fs(spark, path)
-    out = fs.create(p, True)
+    """Write under another name, then rename: a reader sees the whole text or none."""
+    fs, p, jvm = _fs(spark, path)
+    part = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(part, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(part, p):
+        raise OSError(f"cannot rename {part.toString()} to {path}")
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
