@@ -17,8 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velocast.llm.shared import fresh, keep
-
 BUCKETS = 1 << 16
 LETTER = re.compile(r"[^\W\d_]")
 _SPACES = re.compile(r"[\W\d_]+")
@@ -146,8 +144,7 @@ def report(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def reject(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with a language whose share is at least ``least``, all columns kept."""
     langs, table = model_of(train(docs.where(~held_out(id_col)), text, lang))
-    (h,) = fresh(docs, "row_hash")
-    marked = docs.withColumn(h, F.xxhash64(F.col(f"`{text}`").cast("string")))
-    p = predict(marked, langs, table, [h], text)
-    bad = p.where((F.col("lang_pred") == "und") | (F.col("score") < least)).select(h).distinct()
-    return marked.join(bad, h, "left_anti").drop(h)
+    # the rows go through the prediction whole, under names that can't clash: nothing is shuffled
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    p = predict(docs.toDF(*plain), langs, table, plain, plain[docs.columns.index(text)])
+    return p.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*plain).toDF(*docs.columns)
