@@ -262,6 +262,17 @@ def test_language_mixture():
     assert set(langid.infer(rng.choice(50, 400, p=p[1]), table)) == {1}
 
 
+def test_language_rejection(spark):
+    en, de = "the house by the river is old and the people there like it", "das haus am fluss ist alt und die leute dort sind gerne da"
+    rows = [(i, en if i % 2 else de, "en" if i % 2 else "de", 7, float(i)) for i in range(1, 41)]
+    odd = [(100, None, "en", 7, None), (101, "", None, None, 1.0), (102, "123 456", "en", 7, 1.0), (1, en, "en", 7, 1.0)]
+    df = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, lang_pred long, score double")
+    out = langid.reject(df)
+    assert out.columns == df.columns
+    assert sorted(map(str, out.collect())) == sorted(str(r) for r in df.where("doc_id < 100").collect())
+    assert langid.reject(df.limit(0)).collect() == []
+
+
 def test_neardup(got):
     e, g = table("embeddings"), got("op8_neardup").set_index("vec_id")
     v = np.array(e.embedding.tolist(), np.float64)
