@@ -273,6 +273,17 @@ def test_language_rejection(spark):
     assert langid.reject(df.limit(0)).collect() == []
 
 
+def test_language_rejection_keeps_mixed_documents(spark):
+    words = {"en": "the house by the river is old and the people there like it", "de": "das haus am fluss ist alt und die leute dort sind gerne da",
+             "es": "la casa junto al agua es vieja y la gente de esa calle la quiere mucho"}
+    rows = [(i, words[k], k) for j, k in enumerate(words) for i in range(20 * j, 20 * j + 20)] + [(99, " ".join(words.values()), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in langid.reject(df).collect()} == {r[0] for r in rows}
+    mixed = {r.doc_id: r for r in langid.report(df).collect()}[99]
+    assert mixed.score < 0.5
+    assert 99 not in {r.doc_id for r in langid.reject(df, least=0.5).collect()}
+
+
 def test_neardup(got):
     e, g = table("embeddings"), got("op8_neardup").set_index("vec_id")
     v = np.array(e.embedding.tolist(), np.float64)

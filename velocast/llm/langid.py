@@ -141,8 +141,13 @@ def report(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return predict(marked, langs, table, [id_col, "held_out"])
 
 
-def reject(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language whose share is at least ``least``, all columns kept."""
+def reject(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` with a language, all columns kept.
+
+    Null texts, texts without a letter and, where nothing was learned, all rows go.  A
+    document of several languages stays, as its parts are known: with three of them the
+    largest share is often below a half.  ``least`` asks for a largest share of that size.
+    """
     langs, table = model_of(train(docs.where(~held_out(id_col)), text, lang))
     # the rows go through the prediction whole, under names that can't clash: nothing is shuffled
     plain = [f"c{i}" for i in range(len(docs.columns))]
