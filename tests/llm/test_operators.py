@@ -123,6 +123,21 @@ def test_decontam_odd_rows(spark):
     assert {r.doc_id for r in decontam.clean(docs, bench).collect()} == {1, 2, 5}
 
 
+def test_decontam_in_blocks_keeps_every_row(spark, monkeypatch):
+    hit, other, free = "x one two three y", "four five six z z", "a b c d e"
+    rows = [(None, hit), (None, free), (None, other), (4, hit), (4, free), (4, hit), (6, None), (6, ""), (7, "one two three four five six")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(["one two three", "four five six", "d d d", "six one", "p q r"])], "item_id long, text string")
+    told = lambda: sorted(map(str, decontam.report(docs, bench).drop("n_near").collect()))
+    whole = told()
+    assert len(whole) == len(rows)
+    kept = sorted([(None, free), (4, free), (6, None), (6, "")], key=str)
+    assert sorted(map(tuple, decontam.clean(docs, bench).collect()), key=str) == kept
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 20)
+    assert told() == whole
+    assert sorted(map(tuple, decontam.clean(docs, bench).collect()), key=str) == kept
+
+
 def test_html(spark):
     page = ("<html><head><title>T</title></head><body><header>H</header><nav>N</nav><div class='cookie-notice'>C</div><main><article><h1>A &amp; b</h1>"
             "<p>one <b>two<br>x<p>three\n  four<script>var a='</p>'</script><aside>S</aside></article><div id=comments>bad</div></main><footer>F</footer>")

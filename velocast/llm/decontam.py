@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velocast.llm.shared import keep
@@ -215,14 +215,13 @@ def merged(spans: list[tuple]) -> list[tuple]:
 
 def find(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text: str = "text",
          item_col: str = "item_id", item_text: str = "text", w: int = WINDOW, slack: int = 2) -> DataFrame:
-    """(row_key, id, n_words, hits, items, near_items), one row per row of ``docs``.
+    """(key, n_words, hits, items, near_items), one row per row of ``docs``.
 
-    ``row_key`` tells repeated rows apart.  A null text has no words; an item without
-    words has no window; a null item id counts as the string ``null``; repeated items
-    count once.  An empty test set hits nothing.
+    ``key`` is ``row_key`` of the row: rows with equal keys have equal results, and stay as many
+    rows.  A null text has no words; an item without words has no window; a null item id counts
+    as the string ``null``; repeated items count once.  An empty test set hits nothing.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-    rows = rows.withColumn("key", F.to_binary(F.coalesce(F.col("id").cast("string"), F.lit("\x00")), F.lit("utf-8")))
+    rows = docs.select(row_key(id_col, text).alias("key"), F.col(f"`{text}`").cast("string").alias("t"))
     tests = bench.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")).alias("item"),
                          F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit("")).alias("t")).distinct()
     chars = tests.agg(F.sum(F.length("t") + 16)).first()[0] or 0
@@ -237,14 +236,20 @@ def find(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text: str =
         counts = {bytes(r["term"]): r["n"] for r in term_counts(index).collect()}  # at most the block's terms
         found = search(index, wins, counts, slack, w)
         out = found if out is None else out.unionByName(found)
-    if blocks > 1:
-        out = out.groupBy("key", "n_words").agg(
-            F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near_items"))
-        out = out.withColumn("hits", _union("hits"))
+    if blocks > 1:  # each block returns every row: those of one key have one result a block
+        every = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
+        out = out.groupBy("key", "n_words").agg(every("hits"), every("items"), every("near_items"), (F.count("*") / blocks).cast("long").alias("copies"))
+        out = out.withColumn("hits", _union("hits")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "copy")
     return out
 
 
+def row_key(id_col: str, text: str) -> Column:
+    """The SHA-256 of the text (of an empty one for null), then the id, marked as null or not."""
+    i = F.col(f"`{id_col}`").cast("string")
+    return F.concat(F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), 256)), F.when(i.isNull(), F.lit(b"\x00")).otherwise(
+        F.concat(F.lit(b"\x01"), F.to_binary(i, F.lit("utf-8")))))
+
+
 def _union(c: str):
     """Disjoint sorted intervals from any intervals."""
     start = F.array().cast("array<struct<a:bigint,b:bigint>>")
@@ -261,7 +266,8 @@ def report(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id") -> DataFra
     d = find(docs, bench, id_col)
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["b"] - x["a"])
     kind = docs.schema[id_col].dataType
-    return d.select(F.when(F.col("key") != F.lit(b"\x00"), F.col("key").cast("string")).cast(kind).alias(id_col), "n_words", n_hit.alias("n_hit"),
+    told = F.when(F.substring("key", 33, 1) == F.lit(b"\x01"), F.expr("substring(key, 34)").cast("string"))
+    return d.select(told.cast(kind).alias(id_col), "n_words", n_hit.alias("n_hit"),
                     F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                     (n_hit > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near"))
 
@@ -271,5 +277,4 @@ def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text: str =
     d = find(docs, bench, id_col, text)
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["b"] - x["a"])
     bad = d.where(n_hit > F.lit(most) * F.col("n_words")).select(F.col("key").alias("\x01key")).distinct()
-    key = F.to_binary(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("\x00")), F.lit("utf-8"))
-    return docs.join(bad, key == F.col("\x01key"), "left_anti")
+    return docs.join(bad, row_key(id_col, text) == F.col("\x01key"), "left_anti")
