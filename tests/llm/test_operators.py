@@ -138,6 +138,16 @@ def test_decontam_in_blocks_keeps_every_row(spark, monkeypatch):
     assert sorted(map(tuple, decontam.clean(docs, bench).collect()), key=str) == kept
 
 
+def test_decontam_proximity_beside_exact_matches(spark):
+    passage = "p q r s t u v w x y"
+    rows = [(1, passage), (2, passage.replace("t u", "t and u")), (3, passage.replace("p q", "q p")), (4, passage + " . " + "z " * 30 + passage.replace("v w", "v or w")), (5, "p q r s t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    want = {(1, 1, 0), (2, 0, 1), (3, 0, 1), (4, 1, 1), (5, 0, 0)}
+    for n in (1, 4):
+        assert {(r.doc_id, r.n_items, r.n_near) for r in decontam.report(docs.repartition(n) if n > 1 else docs, bench).collect()} == want
+
+
 def test_html(spark):
     page = ("<html><head><title>T</title></head><body><header>H</header><nav>N</nav><div class='cookie-notice'>C</div><main><article><h1>A &amp; b</h1>"
             "<p>one <b>two<br>x<p>three\n  four<script>var a='</p>'</script><aside>S</aside></article><div id=comments>bad</div></main><footer>F</footer>")

@@ -119,7 +119,8 @@ def _near(lists: list, at: np.ndarray, span: int) -> np.ndarray:
 
 
 def match(terms: dict, plan: list[tuple], slack: int) -> tuple[dict, dict]:
-    """Phrase starts by window, and places of windows that only match in proximity, in one segment.
+    """Phrase starts by window, and places outside those phrases where a window matches in
+    proximity, in one segment.
 
     ``terms`` gives each term's sorted positions; ``plan`` has (window, terms in order of
     rarity with their offsets).
@@ -138,9 +139,13 @@ def match(terms: dict, plan: list[tuple], slack: int) -> tuple[dict, dict]:
             at = at[(i < len(x)) & (x[np.minimum(i, len(x) - 1)] == at)]
         if len(at):
             exact[w] = at
-        elif slack >= 0:
+        if slack >= 0:
             span = len(ordered) - 1 + slack
-            at = _near([terms[t] for t, _ in ordered[1:6]], terms[t0], span)
+            places = terms[t0]
+            if len(at):  # what stands in an exact match of the window is no place of its own
+                i = np.searchsorted(at, places, "right") - 1
+                places = places[(i < 0) | (places >= at[np.maximum(i, 0)] + len(ordered))]
+            at = _near([terms[t] for t, _ in ordered[1:6]], places, span)
             for p in at:  # few are left: each start of a span that holds p is tried
                 own = [terms[t][np.searchsorted(terms[t], p - span):np.searchsorted(terms[t], p + span, "right")] for t, _ in ordered]
                 if all(len(x) for x in own) and any(
