@@ -328,6 +328,37 @@ def test_neardup_odd_rows(spark):
     assert neardup.links(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim", [64, 16, 8, 3])
+def test_near_vectors_share_a_filter(dim):
+    rng = np.random.default_rng(5)
+    f = neardup.Filters(dim)
+    x = rng.standard_normal((3000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    held = lambda v: [set(c.tolist()) for c in np.split(*(lambda r, c: (c[np.argsort(r, kind="stable")], np.cumsum(np.bincount(r, minlength=len(v)))[:-1]))(*f.decode(v)))]
+    mine = held(x)
+    assert min(map(len, mine)) > 0
+    for cos in (0.95, 0.98, 0.999, 1.0):
+        z = rng.standard_normal(x.shape)
+        z -= (z * x).sum(axis=1, keepdims=True) * x
+        y = cos * x + np.sqrt(1 - cos * cos) * z / np.linalg.norm(z, axis=1, keepdims=True)
+        assert sum(bool(a & b) for a, b in zip(mine, held(y))) >= 0.999 * len(x), cos
+
+
+def test_neardup_finds_planted_links(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((300, 64))
+    z = rng.standard_normal((300, 64))
+    z -= (z * x).sum(axis=1, keepdims=True) / (x * x).sum(axis=1, keepdims=True) * x
+    z *= np.linalg.norm(x, axis=1, keepdims=True) / np.linalg.norm(z, axis=1, keepdims=True)
+    cos = np.repeat([0.951, 0.98, 0.999, 1.0], 75)[:, None]
+    v = np.concatenate([x, (cos * x + np.sqrt(1 - cos * cos) * z) * 3])
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+    out = {r.vec_id: (r.n_links, r.component_id) for r in neardup.links(df).collect()}
+    assert near.sum() > 2 * len(v) - 1 and out == {i: (int(near[i].sum()) - 1, int(np.flatnonzero(near[i])[0])) for i in range(len(v))}
+
+
 def test_mixing(got):
     d, g = table("documents"), got("op9_mixing")
     d["size"] = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in d.text]

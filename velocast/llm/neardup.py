@@ -4,8 +4,11 @@ Filter directions are a random product code: the space, turned by a seeded rando
 rotation, is cut into blocks of dimensions, each with its own random unit directions; a
 filter is one direction of each block.  List decoding takes, block after block with the
 largest sum still possible as a bound, all filters whose inner product with the vector
-exceeds the threshold.  Vectors meet in their filters; pairs are verified by cosine in
-double precision.  Each pair counts once, at the least filter that both share.
+exceeds the threshold, and where those are few, the vector's ``fewest`` best ones: no vector
+is without filters, and a copy of a vector has the same.  Vectors meet in their filters;
+pairs are verified by cosine in double precision.  Each pair counts once, at the least
+filter that both share.  Few dimensions have few directions, so that caps stay wider than
+the angle of a link.
 
 Equal vectors are grouped first.  A filter's vectors are cut into parts of bounded size
 and every pair of parts is one task's work, so a hot filter is spread out.
@@ -28,9 +31,11 @@ PART = 2000
 
 class Filters:
     """``size`` directions in each of ``blocks`` blocks; the threshold is in units of
-    1/sqrt(dim), the spread of a random direction's inner product."""
+    1/sqrt(dim), the spread of a random direction's inner product.  A vector has at least its
+    ``fewest`` best filters."""
 
-    def __init__(self, dim: int, blocks: int = 2, size: int = 128, threshold: float = 2.9, seed: int = 11):
+    def __init__(self, dim: int, blocks: int = 2, size: int = 128, threshold: float = 2.9, seed: int = 11, fewest: int = 24):
+        size = min(size, 1 << max(2, dim // 2))
         rng = np.random.default_rng(seed)
         self.turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.cuts = np.linspace(0, dim, min(blocks, dim) + 1).astype(int)
@@ -39,17 +44,26 @@ class Filters:
             c = rng.standard_normal((size, b - a))
             # each block's part has the length that its share of the dimensions gives a unit vector
             self.codes.append(c / np.linalg.norm(c, axis=1, keepdims=True) * np.sqrt((b - a) / dim))
-        self.size, self.least = size, threshold / np.sqrt(dim)
+        self.size, self.least, self.fewest = size, threshold / np.sqrt(dim), fewest
+
+    def limits(self, score: list) -> np.ndarray:
+        """By row: the threshold, or the ``fewest``-th best sum where that is less."""
+        best = np.zeros((len(score[0]), 1))
+        for s in score:  # the best sums are made of the best sums of the blocks before and the block's best
+            s = -np.partition(-s, min(self.fewest, s.shape[1]) - 1, axis=1)[:, :self.fewest]
+            best = (best[:, :, None] + s[:, None, :]).reshape(len(s), -1)
+            best = -np.partition(-best, min(self.fewest, best.shape[1]) - 1, axis=1)[:, :self.fewest]
+        return np.minimum(self.least, best.min(axis=1)) - 1e-12
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) for all filters that exceed the threshold."""
         x = unit @ self.turn
         score = [x[:, a:b] @ c.T for a, b, c in zip(self.cuts[:-1], self.cuts[1:], self.codes)]
-        best = [s.max(axis=1) for s in score]
+        best, least = [s.max(axis=1) for s in score], self.limits(score)
         row, code, total = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
         for i, s in enumerate(score):
             rest = sum((b[row] for b in best[i + 1:]), np.zeros(len(row)))
-            k, d = np.nonzero(total[:, None] + s[row] + rest[:, None] >= self.least)
+            k, d = np.nonzero(total[:, None] + s[row] + rest[:, None] >= least[row, None])
             row, code, total = row[k], code[k] * self.size + d, total[k] + s[row[k], d]
         return row, code
 
@@ -72,7 +86,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple]:
 
 
 def links(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", least: float = 0.95,
-          blocks: int = 2, size: int = 128, threshold: float = 2.9, seed: int = 11) -> DataFrame:
+          blocks: int = 2, size: int = 128, threshold: float = 2.9, seed: int = 11, fewest: int = 24) -> DataFrame:
     """(id, n_links, component_id), one row per row of ``vectors``.
 
     ``n_links`` counts the other rows linked directly (repeated rows and equal vectors
@@ -92,7 +106,7 @@ def links(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding",
     dims = [r[0] for r in reps.select("dim").distinct().collect()]
     pairs = None
     for dim in dims:
-        got = _pairs(reps.where(F.col("dim") == dim), dim, least, Filters(dim, blocks, size, threshold, seed))
+        got = _pairs(reps.where(F.col("dim") == dim), dim, least, Filters(dim, blocks, size, threshold, seed, fewest))
         pairs = got if pairs is None else pairs.unionByName(got)
     if pairs is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").cast("long").alias("component_id"))
