@@ -382,6 +382,28 @@ def test_fit_and_targets():
     assert t["a"] == 20 and abs(sum(t.values()) - 315) < 1e-9
 
 
+def test_fit_is_the_best_sum():
+    def best(lens, ns, budget):
+        made = {0}
+        for n, c in zip(lens, ns):
+            made = {w + k * n for w in made for k in range(c + 1) if w + k * n <= budget}
+        return max(made)
+
+    rng = np.random.default_rng(6)
+    for words in (8, 64):
+        for _ in range(300):
+            lens = sorted(set(rng.integers(words // 4, 2 * words, rng.integers(2, 7)).tolist()))
+            ns = rng.integers(1, 12, len(lens)).tolist()
+            budget = int(rng.integers(1, sum(a * b for a, b in zip(lens, ns)) + 3))
+            k = mixing.fit(lens, ns, budget, dp_words=words)
+            assert all(0 <= a <= b for a, b in zip(k, ns)) and sum(a * b for a, b in zip(k, lens)) == best(lens, ns, budget)
+    lens, ns = [150, 301, 997, 1201], [300, 200, 100, 200]  # no short documents, above dp_words by default
+    for budget in (131_072, 200_001, 300_007):
+        assert sum(a * b for a, b in zip(mixing.fit(lens, ns, budget), lens)) == best(lens, ns, budget)
+    lens, ns = [3_000_000, 5_000_000], [3, 3]  # documents larger than the program
+    assert mixing.fit(lens, ns, 9_500_000) in ([3, 0], [1, 1])
+
+
 def test_mixing_odd_rows(spark):
     rows = [(1, None, "a"), (2, "", None), (3, "x y", "a"), (3, "x y", "a"), (None, "z " * 30000, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 size", "2 target", "3 id")

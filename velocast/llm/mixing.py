@@ -2,14 +2,18 @@
 
 Documents are counted by exact length within each source.  Every document is taken
 ``floor(target / size)`` times whole; the rest of the budget is filled by lengths: a
-proportional share of each length's documents, then the largest lengths that still
-fit, then a bounded-knapsack dynamic program over the words that remain.  Which
+proportional share of each length's documents, then the largest lengths down to a
+remainder of bounded words, then a bounded-knapsack dynamic program over that; where it
+misses, documents are given back, short ones first, and it runs again.  Which
 documents of a length are taken follows from a seeded hash, found by a histogram of
 hash ranges, so no task sorts a whole group.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,44 +43,65 @@ def targets_of(sizes: list[tuple], weights: tuple = (5, 2, 1), share: float = 1.
     return target
 
 
-def fit(lengths: list[int], counts: list[int], budget: int, dp_words: int = 1 << 16) -> list[int]:
+def subset_sum(lengths: list[int], counts: list[int], budget: int) -> list[int]:
+    """How many of each length make the most words up to ``budget``: bounded knapsack, exact."""
+    # by[w]: the step that first made w words; a step adds k documents of length i, each count in powers of two
+    by, steps, taken = np.full(budget + 1, -1, np.int32), [], [0] * len(lengths)
+    by[0] = 0
+    for i in sorted((i for i, n in enumerate(lengths) if n), key=lambda i: -lengths[i]):
+        spare, k = min(counts[i], budget // lengths[i]), 1
+        while spare > 0 and by[budget] < 0:
+            k = min(k, spare)
+            steps.append((i, k))
+            new = np.flatnonzero(by[:budget + 1 - k * lengths[i]] >= 0) + k * lengths[i]
+            by[new[by[new] < 0]] = len(steps)
+            spare, k = spare - k, 2 * k
+        if by[budget] >= 0:
+            break
+    w = int(np.flatnonzero(by >= 0)[-1])
+    while w:
+        i, k = steps[by[w] - 1]
+        taken[i] += k
+        w -= k * lengths[i]
+    return taken
+
+
+def fit(lengths: list[int], counts: list[int], budget: int, dp_words: int = 1 << 16, most_words: int = 1 << 20) -> list[int]:
     """How many documents of each length to take so that their words come nearest to
-    ``budget`` from below: proportional, then largest first, then exact subset sum."""
+    ``budget`` from below: proportional, then largest first, then exact subset sum.
+
+    The program runs on a remainder of at most ``dp_words`` and one length, again on up to
+    ``most_words`` where it misses; it is exact for the whole budget up to there.
+    """
     total = sum(a * b for a, b in zip(lengths, counts))
     if total <= budget:
         return list(counts)
+    grid = math.gcd(*lengths)  # not 0, as there are words; sums are multiples of it
+    lengths, budget, total = [n // grid for n in lengths], budget // grid, total // grid
     take = [budget * c // total if n else 0 for n, c in zip(lengths, counts)]
     left = budget - sum(a * b for a, b in zip(lengths, take))
     order = sorted((i for i, n in enumerate(lengths) if n), key=lambda i: -lengths[i])
     for i in order:
-        if left <= dp_words:
+        if left <= dp_words or left <= most_words and left < dp_words + lengths[i] and take[i] < counts[i]:
             break
         more = min(counts[i] - take[i], (left - dp_words) // lengths[i])
         take[i] += more
         left -= more * lengths[i]
-    if left > dp_words:  # only lengths beyond the program's words are left
-        for i in order:
-            more = min(counts[i] - take[i], left // lengths[i])
-            take[i] += more
-            left -= more * lengths[i]
-        return take
-    # bounded knapsack: bit w of reach says that w words can be made; each count in powers of two
-    mask, reach, trail = (1 << (left + 1)) - 1, 1, []
-    for i in order:
-        spare, k = min(counts[i] - take[i], left // lengths[i]), 1
-        while spare > 0 and not reach >> left & 1:
-            k = min(k, spare)
-            grown = (reach | reach << (k * lengths[i])) & mask
-            trail.append((i, k, reach))
-            reach, spare, k = grown, spare - k, 2 * k
-        if reach >> left & 1:
-            break
-    w = reach.bit_length() - 1
-    for i, k, was in reversed(trail):
-        if not was >> w & 1:
-            take[i] += k
-            w -= k * lengths[i]
-    return take
+    if left > max(most_words, 2 * dp_words):  # every length left is over half of it: at most one more document fits
+        one = next((i for i in order if take[i] < counts[i] and lengths[i] <= left), None)
+        return [k + (i == one) for i, k in enumerate(take)]
+    while True:
+        more = subset_sum(lengths, [c - k for c, k in zip(counts, take)], left)
+        best = [a + b for a, b in zip(take, more)]
+        if sum(a * b for a, b in zip(lengths, best)) == budget or not any(take[i] for i in order):
+            return best
+        held, wide = left, min(4 * left + dp_words, most_words)
+        for i in reversed(order):  # a miss: documents are given back, short ones first
+            back = min(take[i], max(0, wide - left) // lengths[i])
+            take[i] -= back
+            left += back * lengths[i]
+        if left == held:
+            return best
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
