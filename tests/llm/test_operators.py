@@ -266,6 +266,17 @@ def test_secrets_odd_rows(spark):
     assert secrets.report(df.limit(0)).count() == 0
 
 
+def test_secrets_long_tokens(spark):
+    long = ["aB3xY" * n for n in (4, 5, 40, 41, 400, 24_000)]
+    texts = [f"é {x}, y" for x in long] + ["xyz" * 100, "A1" * 100, "x" * 21 + "yzA1 " + "aB3xY" * 50 + "." + "xY9aB" * 60]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    out = {r.doc_id: r.spans for r in secrets.report(df).collect()}
+    want = {i: told([("token", m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_=-]{24,}", t) if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))])
+            for i, t in enumerate(texts)}
+    assert "token:2:120002" in want[5] and want[0] == ""
+    assert out == want
+
+
 def test_language(got, spark):
     d, g = table("documents"), got("op6_langid").set_index("doc_id")
     held = g[g.held_out]

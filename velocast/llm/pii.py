@@ -1,8 +1,9 @@
 """Personal data by weak supervision, in DataFrame functions only (operator 5).
 
 Candidates are the base matches of four patterns and looser ones (written-out
-addresses, bare phone numbers, names after a title).  Regex, gazetteer and context
-labelers vote on each candidate (1 yes, 0 no, -1 silent).  Counts of the vote patterns,
+addresses, bare phone numbers; names of persons are none).  Labelers for the regex, short
+lists (endings of domains, first digits of cards), context and shape vote on each candidate
+(1 yes, 0 no, -1 silent).  Counts of the vote patterns,
 a table bounded by 3^labelers, go to an expectation-maximisation that estimates each
 labeler's reliability and each pattern's posterior.  The final span classifier is a
 naive Bayes model over span and context features, trained on the candidates weighted

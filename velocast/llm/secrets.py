@@ -1,6 +1,7 @@
 """Secrets and how widely each is owned, in DataFrame functions only (operator 7).
 
-Candidates are the base matches of three patterns and looser ones (long mixed tokens).
+Candidates are the base matches of three patterns and looser ones (mixed tokens of 24
+characters or more, without an upper bound).
 Each candidate's hash is counted over the whole corpus by distinct repositories and
 distinct owners.  What many owners hold is an example that was copied about; a value
 that at most ``owners`` owners hold looks live.  Looser candidates are added as spans
@@ -21,7 +22,8 @@ NAME = r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?"
 ASSIGN = NAME + r"[A-Za-z0-9+/_.=-]+"
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-LOOSE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{0,200}[0-9])(?=[A-Za-z0-9+/_=-]{0,200}[A-Z])(?=[A-Za-z0-9+/_=-]{0,200}[a-z])[A-Za-z0-9+/_=-]{24,200}(?![A-Za-z0-9+/_=-])"
+#: A whole run, however long; that it has a digit and letters of both cases is told afterwards.
+LOOSE = r"[A-Za-z0-9+/_=-]{24,}+"
 
 
 def base(text: Column) -> Column:
@@ -35,6 +37,11 @@ def secret_of(x: Column) -> Column:
     return F.when(x["kind"] == "assign", F.regexp_replace(x["value"], "^" + NAME, "")).otherwise(x["value"])
 
 
+def mixed(value: Column) -> Column:
+    """Whether a token has a digit and letters of both cases."""
+    return value.rlike("[0-9]") & value.rlike("[A-Z]") & value.rlike("[a-z]")
+
+
 def by_start(spans: Column) -> Column:
     rank = F.create_map(*[F.lit(v) for i, k in enumerate((*KINDS, "token")) for v in (k, i)])
     return F.transform(F.array_sort(F.transform(spans, lambda x: F.struct(
@@ -52,7 +59,7 @@ def find(docs: DataFrame, text: str = "text", repository: str = "source", owner:
     b, m, s, live, rid = fresh(docs, "base_spans", "more_spans", "spans", "n_live", "row_key")
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     d = docs.withColumn(b, base(t))
-    d = d.withColumn(m, F.filter(F.when(t.rlike("[A-Za-z0-9+/_=-]{24}"), matches(t, LOOSE, "token")).otherwise(F.array().cast(SPAN)), lambda x: ~F.exists(
+    d = d.withColumn(m, F.filter(F.when(t.rlike("[A-Za-z0-9+/_=-]{24}"), matches(t, LOOSE, "token")).otherwise(F.array().cast(SPAN)), lambda x: mixed(x["value"]) & ~F.exists(
         F.col(b), lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))))
     if carried is not None:
         d = d.select(*[F.col(f"`{x}`") for x in carried], b, m)
