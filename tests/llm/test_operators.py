@@ -435,6 +435,21 @@ def test_licenses(got, spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def test_licenses_in_several_forms(spark):
+    import textwrap
+    full = {(k, i): t for i, (k, t, _) in enumerate(licenses.LONG)} | {(k, -1): t for k, (t, _) in licenses.TEMPLATES.items()}
+    forms = [lambda t: t, lambda t: textwrap.fill(t, 40), lambda t: textwrap.indent(textwrap.fill(t, 70), " * "), lambda t: textwrap.indent(textwrap.fill(t, 60), "# "),
+             lambda t: "lorem ipsum dolor " * 2000 + t + " sit amet" * 2000]
+    rows = [(k, f(t)) for (k, _), t in full.items() for f in forms]
+    rows += [("MIT", "// SPDX-License-Identifier: MIT"), ("Apache-2.0,MIT", "# SPDX-License-Identifier: (MIT OR Apache-2.0)"), ("GPL-2.0", "/* SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 */"),
+             ("MIT,proprietary", "All rights reserved.\nx\nReleased under\nthe MIT License."), ("", "free software is licensed to anyone under many terms, and version 2 of the general public idea")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    out = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert [(i, out[i].licenses, rows[i][1][:90]) for i in out if out[i].licenses != rows[i][0]] == []
+    start, end = map(int, out[4].spans.split(":")[1:3])
+    assert rows[4][1][start:end].startswith("Permission is") and rows[4][1][start:end].endswith("following conditions")
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     d = table("documents")
