@@ -153,7 +153,7 @@ def _merkle_sql(heights: tuple[int, int] = (8, 4), a: int = 8) -> str:
         for j in range(first, last):
             parts.append(f"""{n}{j + 1} AS MATERIALIZED (SELECT g, r AS i, CASE WHEN any_value(m) = 1 THEN any_value(d)
   ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d, string_agg(d, '' ORDER BY i) AS run, any_value(m) AS m
-  FROM (SELECT *, i // {a} AS r, count(*) OVER (PARTITION BY g) AS m FROM {n}{j}) GROUP BY g, r)""")
+  FROM (SELECT g, i, d, i // {a} AS r, count(*) OVER (PARTITION BY g) AS m FROM {n}{j}) GROUP BY g, r)""")
             cut = f"substr(run, 1, CAST(64 * (x.i % {a}) AS BIGINT))", f"substr(run, CAST(64 * (x.i % {a}) + 65 AS BIGINT))"
             parts.append(f"""{x}{j + 1} AS MATERIALIZED (SELECT x.* EXCLUDE (i, p, e), x.i // {a} AS i,
   CASE WHEN m = 1 THEN p ELSE p || {cut[0]} || {cut[1]} END AS p, CASE WHEN m = 1 THEN e ELSE sha256({cut[0]} || e || {cut[1]}) END AS e
