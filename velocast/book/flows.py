@@ -24,6 +24,7 @@ from ..plans import runs as KR
 from ..session import scratch_path
 from ..sources import catalog as A
 from ..sources import files as AF
+from ..sources import ledger as L
 from ..streaming import changes as J
 from . import BASE, TRIPS, features_ctes, register, with_ctes
 from .basic import DAILY, EXPLAINED, PREDS, RAW1, RAW2
@@ -450,3 +451,73 @@ SELECT LAST_TRIP_DATE, NEXT_INGEST,
        strftime(NEXT_INGEST + INTERVAL 1 MONTH, '%Y_%m_%d') AS RUN_DATE FROM n""")
 def next_ingest(spark, sf_dir):
     return RP.next_ingest(fx.trips(spark, sf_dir))
+
+
+# ------------------------------------------------------------ A: loads that remember, records that don't fit
+
+def _load_key(spark, sf_dir):
+    """(landing folder, table): schema2 files landed, the table not made yet."""
+    landing, _ = _landed(spark, sf_dir, ("schema2",))
+    name = _name("raw_loaded")
+    return landing, name, scratch_path(spark, "tables", name)
+
+
+@register("load_files_once", with_ctes(RAW2) + f"SELECT {CONF} FROM raw2")
+def load_files_once(spark, sf_dir):
+    """A6 with the ledger: half of the files, then all of them, then all again."""
+    landing, name, path = _load_key(spark, sf_dir)
+    files = L.listing(spark, landing, "*.csv.gz")
+    L.load_files(spark, files.where(F.col("NAME") < "2025"), K.SCHEMA2, name, path)
+    for _ in range(2):
+        L.load_files(spark, files, K.SCHEMA2, name, path)
+    return spark.table(name).select(*K.CONFORMED_COLUMNS)
+
+
+_MONTH2 = f"strftime(o_orderdate + INTERVAL {RAW2_SHIFT} MONTH, '%Y%m')"
+
+
+@register("load_report", f"""
+SELECT {_MONTH2} || '-citibike-tripdata.csv.gz' AS NAME, CASE WHEN {_MONTH2} < '2025' THEN 'LOADED' ELSE 'NEW' END AS STATUS,
+       CASE WHEN {_MONTH2} >= '2025' THEN count(*) END AS N_ROWS, CASE WHEN {_MONTH2} >= '2025' THEN CAST(0 AS BIGINT) END AS N_REJECTED
+FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY {_MONTH2}""")
+def load_report(spark, sf_dir):
+    """What the second of two overlapping loads finds and does, by file."""
+    landing, name, path = _load_key(spark, sf_dir)
+    files = L.listing(spark, landing, "*.csv.gz")
+    L.load_files(spark, files.where(F.col("NAME") < "2025"), K.SCHEMA2, name, path)
+    return L.load_files(spark, files, K.SCHEMA2, name, path).select("NAME", "STATUS", "N_ROWS", "N_REJECTED")
+
+
+def _odd_records(spark, sf_dir):
+    """Every order as a schema2 record, some of them odd: two fields missing (key mod 7 = 0), one
+    too many (1), a quoted field with a line break, a comma and quotes (2)."""
+    key, cols = F.col("o_orderkey"), []
+    for c in K.SCHEMA2_COLUMNS:
+        cols.append({"ride_id": key.cast("string"), "USERTYPE": F.col("o_orderstatus"),
+                     "END_STATION_NAME": F.when(key % 7 == 2, F.concat(F.lit('"a ""b"",\n'), key.cast("string"), F.lit('"'))).otherwise("\\N")
+                     }.get(c, F.lit("NULL")))
+    line = F.when(key % 7 == 0, F.concat_ws(",", *cols[:-2])).when(key % 7 == 1, F.concat_ws(",", *cols, F.lit("more"))).otherwise(F.concat_ws(",", *cols))
+    landing = scratch_path(spark, "odd")
+    orders = fx.load(spark, sf_dir, "orders").select(line.alias("value"))
+    # the header is a file's first line, so a file is written for each partition that has rows
+    header = spark.range(1).select(F.lit(",".join(K.SCHEMA2_COLUMNS)).alias("value"), F.lit(0).alias("n"))
+    orders = orders.withColumn("n", F.lit(1)).unionByName(header).coalesce(1).sortWithinPartitions("n").select("value")
+    orders.write.option("compression", "gzip").text(landing)
+    return landing
+
+
+@register("rejected_records", """
+SELECT CAST(o_orderkey AS VARCHAR) AS ride_id, o_orderstatus AS USERTYPE,
+       CASE WHEN o_orderkey % 7 = 2 THEN 'a "b",' || chr(10) || o_orderkey END AS END_STATION_NAME, CAST(NULL AS VARCHAR) AS REASON
+FROM orders WHERE o_orderkey % 7 > 1
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL, NULL, CASE o_orderkey % 7 WHEN 0 THEN 'too few fields' ELSE 'too many fields' END
+FROM orders WHERE o_orderkey % 7 < 2""")
+def rejected_records(spark, sf_dir):
+    """A1: records that fit as rows, the others with the reason; every record is one or the other."""
+    landing = _odd_records(spark, sf_dir)
+    rows = L.read_checked(spark, [landing], K.SCHEMA2)
+    bad = L.rejects(rows, len(K.SCHEMA2_COLUMNS)).select(
+        F.substring_index("RECORD", ",", 1).alias("ride_id"), F.lit(None).cast("string").alias("USERTYPE"),
+        F.lit(None).cast("string").alias("END_STATION_NAME"), "REASON")
+    good = rows.where(F.col(L.REJECTED).isNull()).select("ride_id", "USERTYPE", "END_STATION_NAME", F.lit(None).cast("string").alias("REASON"))
+    return good.unionByName(bad)

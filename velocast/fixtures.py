@@ -32,6 +32,14 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderstatus").alias("USERTYPE"))
 
 
+def ship_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trips of a dense fleet: one line item = one trip; station = line number."""
+    li = load(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_shipdate").alias("STARTTIME"), F.col("l_shipdate").alias("STOPTIME"),
+                     *[F.concat(F.lit("L"), F.col("l_linenumber")).alias(c) for c in ("START_STATION_NAME", "START_STATION_ID")],
+                     F.col("l_linestatus").alias("USERTYPE"))
+
+
 def weather_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather source: per (line status, ship day) rain = sum(discount), temp = avg(quantity)."""
     li = load(spark, sf_dir, "lineitem")

@@ -150,19 +150,12 @@ def feature_importance(explained: DataFrame, lags=LAGS) -> DataFrame:
         F.round(F.avg(F.col(f"EXPL_{f}").cast("double")), 4).alias(f"IMP_{f}") for f in feats])
 
 
-def forecast_recursive(features: DataFrame, coefs: DataFrame, calendar: DataFrame,
-                       lags=LAGS, steps: int = FORECAST_STEPS) -> DataFrame:
-    """Day-by-day forecast; lags come from actuals, then from own predictions.
-
-    Each station's group holds only its last max(lags) actual rows plus the
-    forecast days (bounded state), built without any cross join: the future
-    days are the calendar's dates from the station's last date + 1, joined
-    on DATE.  Predictions are rounded half-even to whole trips.
-    """
-    feats = feature_names(lags)
-    lags = tuple(int(k) for k in lags)
-    depth = max(lags)
-    hist = (tail_n(features.select(STATION, DATE, COUNT), depth)
+def forecast_rows(features: DataFrame, calendar: DataFrame, lags=LAGS,
+                  steps: int = FORECAST_STEPS) -> tuple[DataFrame, T.StructType]:
+    """H12's input by station, its last max(lags) actual rows (KIND H) and the forecast days (F),
+    and the schema of the forecast.  The future days are the calendar's dates from the station's
+    last date + 1, joined on DATE, so no cross join."""
+    hist = (tail_n(features.select(STATION, DATE, COUNT), max(lags))
             .select(STATION, DATE, F.col(COUNT).cast("double").alias(COUNT),
                     F.lit(None).cast("int").alias("HOLIDAY"),
                     F.lit(None).cast("double").alias("PRECIP"), F.lit(None).cast("double").alias("TEMP"),
@@ -174,15 +167,27 @@ def forecast_recursive(features: DataFrame, coefs: DataFrame, calendar: DataFram
     fut = (days.join(calendar.select(DATE, "HOLIDAY", "PRECIP", "TEMP"), DATE, "left")
            .select(STATION, DATE, F.lit(None).cast("double").alias(COUNT), F.col("HOLIDAY").cast("int"),
                    F.col("PRECIP").cast("double"), F.col("TEMP").cast("double"), F.lit("F").alias("KIND")))
-    c = coefs.select(STATION, "INTERCEPT", *[f"B_{f}" for f in feats])
-    rows = hist.unionByName(fut).join(c, STATION, "inner")
-
-    out_schema = T.StructType(
+    schema = T.StructType(
         [T.StructField(STATION, T.StringType()), T.StructField(DATE, T.DateType()),
          T.StructField(COUNT, T.LongType())]
         + [T.StructField(f"LAG_{k}", T.LongType()) for k in lags]
         + [T.StructField("HOLIDAY", T.IntegerType()), T.StructField("PRECIP", T.DoubleType()),
            T.StructField("TEMP", T.DoubleType()), T.StructField("PRED", T.DoubleType())])
+    return hist.unionByName(fut), schema
+
+
+def forecast_recursive(features: DataFrame, coefs: DataFrame, calendar: DataFrame,
+                       lags=LAGS, steps: int = FORECAST_STEPS) -> DataFrame:
+    """Day-by-day forecast; lags come from actuals, then from own predictions.
+
+    Each station's group holds only its last max(lags) actual rows plus the
+    forecast days (bounded state).  Predictions are rounded half-even to whole trips.
+    """
+    feats = feature_names(lags)
+    lags = tuple(int(k) for k in lags)
+    c = coefs.select(STATION, "INTERCEPT", *[f"B_{f}" for f in feats])
+    rows, out_schema = forecast_rows(features, calendar, lags, steps)
+    rows = rows.join(c, STATION, "inner")
 
     def recurse(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(DATE)

@@ -131,6 +131,18 @@ def unpack_zip_csv(spark: SparkSession, paths: list[str] | str, schema: T.Struct
     return _null_tokens(parsed)
 
 
+def zip_records(spark: SparkSession, paths: list[str], schema: T.StructType, rejected: str, file: str) -> DataFrame:
+    """A4 with every record accounted for: the columns of ``schema``, ``rejected`` (the line, where
+    its number of fields is not the schema's) and ``file``, the archive."""
+    listing = spark.read.format("binaryFile").load(paths).select("path", F.col("_metadata.file_path").alias(file))
+    n = max(1, listing.count())
+    lines = listing.select("path").repartition(n, "path").mapInPandas(_unzip_lines, "PATH string, LINE_NO long, LINE string")
+    ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields) + f", `{rejected}` STRING"
+    options = {"quote": '"', "escape": '"', "nullValue": "NULL", "columnNameOfCorruptRecord": rejected}
+    parsed = lines.filter(F.col("LINE_NO") > 0).select("PATH", F.from_csv("LINE", ddl, options).alias("R"))
+    return parsed.join(listing, parsed["PATH"] == listing["path"]).select("R.*", file)
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """A5: landed files matching ``glob``: PATH, NAME, LENGTH, MODIFIED (content never read)."""
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
