@@ -29,10 +29,11 @@ SHIP_BASE = [SHIP_TRIPS, *BASE[1:]]
 
 
 def _ship(spark, sf_dir):
-    """(features, holidays, weather) of the fleet whose stations are line numbers."""
+    """(features, holidays, forecast weather) of the fleet whose stations are line numbers.  Its
+    trips end with the weather, so the forecast weather is that of 52 weeks before."""
     trips, weather = fx.ship_trips(spark, sf_dir), fx.weather(spark, sf_dir)
     holidays = holidays_for_range(fx.trip_year_bounds(trips))
-    return cut_lineage(H.feature_table(trips, holidays, weather)), holidays, weather
+    return cut_lineage(H.feature_table(trips, holidays, weather)), holidays, weather.withColumn("DATE", F.date_add("DATE", 364))
 
 
 def _level_sql(bins: int = B.Boost.bins, least: int = B.Boost.min_rows) -> str:

@@ -78,7 +78,8 @@ def best_splits(hist: DataFrame, min_rows: int = 20) -> DataFrame:
     ties to the first feature and the first bin; nodes without a useful split are left out."""
     upto = Window.partitionBy(STATION, "NODE", "K").orderBy("B").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(STATION, "NODE", "K")
-    h = hist.withColumns({"NL": F.sum("N").over(upto), "SL": (F.sum("S").over(upto) / UNIT),
+    # one shuffle by node serves the windows and the choice among features
+    h = hist.repartition(STATION, "NODE").withColumns({"NL": F.sum("N").over(upto), "SL": (F.sum("S").over(upto) / UNIT),
                           "NT": F.sum("N").over(whole), "ST": (F.sum("S").over(whole) / UNIT)})
     nr, sr = F.col("NT") - F.col("NL"), F.col("ST") - F.col("SL")
     h = h.where((F.col("NL") >= min_rows) & (nr >= min_rows)).withColumn(

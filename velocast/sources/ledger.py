@@ -14,6 +14,7 @@ One load at a time may write to a table.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def rejects_of(table: str) -> str:
 def listing(spark: SparkSession, paths: list[str] | str, glob: str = "*") -> DataFrame:
     """PATH, NAME, LENGTH, MODIFIED of the files under ``paths``, as the readers name them."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(paths)
-    return df.select(F.col("_metadata.file_path").alias("PATH"), F.col("_metadata.file_name").alias("NAME"),
+    return df.select(F.col("_metadata.file_path").alias("PATH"), F.element_at(F.split("path", "/"), -1).alias("NAME"),
                      F.col("_metadata.file_size").alias("LENGTH"), F.col("_metadata.file_modification_time").alias("MODIFIED"))
 
 
@@ -159,7 +160,7 @@ def load_files(spark: SparkSession, listed: DataFrame, schema: T.StructType, tab
     now = spark.createDataFrame(load, fields)
     counts = None
     if load:
-        rows = read_checked(spark, [r["PATH"] for r in load], schema)
+        rows = read_checked(spark, [unquote(r["PATH"]) for r in load], schema)  # the listing's names are encoded
         _put(spark, store_of(table), rows.join(now.select(F.col("PATH").alias(FILE), FILE_ID), FILE))
         spark.catalog.refreshTable(store_of(table))
         written = spark.table(store_of(table)).where(F.col(FILE_ID).isin([r[FILE_ID] for r in load]))
