@@ -24,10 +24,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HOT = 10_000
 
 
-def normalise(line: Column) -> Column:
-    """The line without space, tab, CR, LF, VT, FF at its ends, A-Z lower-cased."""
-    x = F.btrim(line, F.lit(BLANK))
-    # lower() changes no more than A-Z where every character is one byte
+def trim(line: Column) -> Column:
+    """The line without space, tab, CR, LF, VT, FF at its ends."""
+    return F.btrim(line, F.lit(BLANK))
+
+
+def lower(x: Column) -> Column:
+    """A-Z lower-cased; lower() changes no more than that where every character is one byte."""
     return F.when(F.octet_length(x) == F.char_length(x), F.lower(x)).otherwise(F.translate(x, UPPER, LOWER))
 
 
@@ -39,8 +42,9 @@ def exploded(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Dat
     """(id, k1, k2, pos, h): the lines that count, by row key and position, with 128-bit hashes."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     lines = rows.select("id", *row_key("id", "text"), F.posexplode(split(F.col("text"))).alias("pos", "line"))
-    lines = lines.withColumn("key", normalise(F.col("line"))).where(F.char_length("key") >= min_chars)
-    return lines.select("id", "k1", "k2", "pos", F.unhex(F.substring(F.sha2("key", 256), 1, 32)).alias("h"))
+    # a generator is evaluated once, a column would be for each use of it
+    lines = lines.select("id", "k1", "k2", "pos", F.explode(F.array(trim(F.col("line")))).alias("x")).where(F.char_length("x") >= min_chars)
+    return lines.select("id", "k1", "k2", "pos", F.unhex(F.substring(F.sha2(lower(F.col("x")), 256), 1, 32)).alias("h"))
 
 
 def row_key(id_col: str, text: str) -> list[Column]:
@@ -51,7 +55,10 @@ def row_key(id_col: str, text: str) -> list[Column]:
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10,
              min_docs: int = 2) -> DataFrame:
     """(h, n_docs, n_lines, first_id) of the normalised lines in ``min_docs`` documents or more."""
-    lines = exploded(docs, id_col, text_col, min_chars)
+    return _counted(exploded(docs, id_col, text_col, min_chars), min_docs)
+
+
+def _counted(lines: DataFrame, min_docs: int) -> DataFrame:
     per_doc = lines.groupBy("h", "id").agg(F.count(F.lit(1)).alias("n"))
     return per_doc.groupBy("h").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_lines"),
                                     F.min("id").alias("first_id")).where(F.col("n_docs") >= min_docs)
@@ -59,12 +66,12 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
 
 def _lost(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int) -> DataFrame:
     """(k1, k2, lost): by row key, the positions of the lines to drop."""
-    found = keep(repeated(docs, id_col, text_col, min_chars, min_docs).select("h", "n_lines", "first_id"))
+    lines = keep(exploded(docs, id_col, text_col, min_chars))  # hashes and positions: the texts are split once
+    found = keep(_counted(lines, min_docs).select("h", "n_lines", "first_id"))
     total = found.agg(F.sum("n_lines")).first()[0] or 0
     # at most HOT hashes can each hold this share of the lines
     hot = found.where(F.col("n_lines") * HOT > total).select("h", "first_id")
     rest = found.where(F.col("n_lines") * HOT <= total).select("h", "first_id")
-    lines = exploded(docs, id_col, text_col, min_chars)
     hit = lines.join(F.broadcast(hot), "h").unionByName(
         lines.join(F.broadcast(hot.select("h")), "h", "left_anti").join(rest, "h"))
     drop = hit.where(~F.col("id").eqNullSafe(F.col("first_id"))).select("k1", "k2", "pos").distinct()
