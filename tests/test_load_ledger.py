@@ -121,3 +121,39 @@ def test_no_files(spark, folder):
     t = name()
     assert L.load_files(spark, L.listing(spark, folder).limit(0), SCHEMA, t).count() == 0 and spark.table(t).count() == 0
     assert AF.read_trips_csv(spark, folder, SCHEMA).count() == 1
+
+
+def test_a_repeated_or_retried_run_adds_no_row(spark, monkeypatch):
+    """K2 twice over the same files, with a crash between raw and TRIPS, and a later month."""
+    from pyspark.sql import functions as F
+
+    from velocast.config import RunConfig
+    from velocast.plans import ingest as K
+    from velocast.sources import catalog as A
+
+    folder = tempfile.mkdtemp(prefix="velocast-k2-")
+    cfg = RunConfig(database="k2_" + uuid.uuid4().hex[:8])
+    A.reset_database(spark, cfg.database, {cfg.raw("schema1"): K.SCHEMA1, cfg.raw("schema2"): K.SCHEMA2}, folder + "/db")
+
+    def month(name, ids):
+        with gzip.open(os.path.join(folder, name), "wt") as f:
+            f.write(",".join(K.SCHEMA2_COLUMNS) + "\n")
+            f.writelines(",".join([i, "bike", "2022-01-05 08:00:00", "2022-01-05 09:00:00", *["s"] * 8, "u"]) + "\n" for i in ids)
+
+    def run():
+        K.incremental_elt(spark, cfg, AF.list_files(spark, folder, "*.csv.gz"))
+        return spark.table(f"{cfg.database}.{cfg.trips}").count()
+
+    month("202201-citibike-tripdata.csv.gz", "abc")
+    assert run() == 3 and run() == 3
+    month("202202-citibike-tripdata.csv.gz", "de")
+    real = K.append_trips
+    monkeypatch.setattr(K, "append_trips", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        run()
+    monkeypatch.setattr(K, "append_trips", real)
+    assert run() == 5 and run() == 5
+    assert spark.table(f"{cfg.database}.{cfg.raw('schema2')}").agg(F.count_distinct("ride_id")).first()[0] == 5
+    month("202202-citibike-tripdata.csv.gz", "defgh")
+    with pytest.warns(UserWarning, match="changed"):
+        assert run() == 5

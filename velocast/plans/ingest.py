@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from pyspark.sql import types as T
 from ..config import RunConfig
 from ..functions.dates import normalize_datetime, parse_timestamp
 from ..operators.relational import COUNT, DATE, STATION, daily_counts
+from ..session import cut_lineage
 from ..sources import catalog as C
 from ..sources import files as A
+from ..sources import ledger as L
 
 # The column lists of the two raw schema versions and the
 # conformed trips table, in the order the files and the table declare them.
@@ -146,12 +149,15 @@ def write_trips(spark: SparkSession, cfg: RunConfig, path: str | None = None,
     (t.withColumn(LOAD, F.lit(1)).write.mode("overwrite").partitionBy(LOAD)
        .option("path", root).saveAsTable(storage))
     _write_daily(spark, storage, 1, root + "_daily")
+    if rows is None:
+        _log_files(spark, cfg, storage, 1, _files_of(spark, cfg), root + "_files")
     return publish_loads(spark, f"{cfg.database}.{cfg.trips}", storage, 1)
 
 
-def append_trips(spark: SparkSession, cfg: RunConfig, rows: DataFrame) -> str:
+def append_trips(spark: SparkSession, cfg: RunConfig, rows: DataFrame, files: DataFrame | None = None) -> str:
     """K1 for new rows only: the conformed rows of newly landed files become the
-    next load partition; nothing already loaded is read or rewritten.
+    next load partition; nothing already loaded is read or rewritten.  ``files``
+    (FILE_ID) names the raw files that the rows come from.
 
     The transform is row by row, so this equals a full rebuild from raw.
     """
@@ -159,30 +165,72 @@ def append_trips(spark: SparkSession, cfg: RunConfig, rows: DataFrame) -> str:
     storage, last = loads_of(spark, view)
     _insert_load(spark, rows, storage, last + 1)
     _write_daily(spark, storage, last + 1)
+    if files is not None:
+        _log_files(spark, cfg, storage, last + 1, files)
     return publish_loads(spark, view, storage, last + 1)
 
 
+def _files_of(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """FILE_ID of the raw files that count, of both versions."""
+    ledgers = [L.ledger_of(f"{cfg.database}.{cfg.raw(v)}") for v in SCHEMAS]
+    parts = [L.latest(spark.table(t)).select(L.FILE_ID) for t in ledgers if spark.catalog.tableExists(t)]
+    none = spark.createDataFrame([], f"{L.FILE_ID} string")
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0] if parts else none
+
+
+def _log_files(spark: SparkSession, cfg: RunConfig, storage: str, load: int, files: DataFrame, root: str | None = None) -> None:
+    """The raw files of one load; they count once the view names the load."""
+    if root:
+        files.withColumn(LOAD, F.lit(load)).write.partitionBy(LOAD).mode("overwrite").option("path", root).saveAsTable(f"{storage}_files")
+    else:
+        _insert_load(spark, files, f"{storage}_files", load)
+
+
+def _not_in_trips(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """FILE_ID of the raw files that no published load of TRIPS holds."""
+    storage, last = loads_of(spark, f"{cfg.database}.{cfg.trips}")
+    held = spark.table(f"{storage}_files").where(F.col(LOAD) <= last)
+    return _files_of(spark, cfg).join(held, L.FILE_ID, "left_anti")
+
+
 def incremental_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame,
                     paths: dict[str, str] | None = None) -> str:
-    """K2: route landed files (A2), append each version's files (A6), then load TRIPS (K1).
+    """K2: route landed files (A2), load each version's new files (A6), then load TRIPS (K1).
 
     ``landed`` is a file listing (A5) with PATH and NAME; the routing is a
     Spark expression, the per-version file lists are bounded by the number
-    of monthly files.  When TRIPS already exists as a load view only the new
-    files are conformed and appended; otherwise TRIPS is built from raw.
+    of monthly files.  A file is loaded once, however often it is listed; one
+    that has changed since is reported by a warning and left as it was.  When
+    TRIPS already exists as a load view only the raw files that it lacks are
+    conformed and appended; otherwise TRIPS is built from raw.  So a run that is
+    repeated, or retried after any step, adds no row twice and misses none.
     """
     paths = paths or {}
     routed = A.route_files(landed, "NAME").select("PATH", "VERSION")
-    new = {}
     for version, schema in SCHEMAS.items():
         files = [r["PATH"] for r in routed.filter(F.col("VERSION") == version).select("PATH").collect()]
-        A.append_files_to_raw(spark, files, schema, f"{cfg.database}.{cfg.raw(version)}", paths.get(version))
-        new[version] = files
-    if loads_of(spark, f"{cfg.database}.{cfg.trips}") is None:
+        table = f"{cfg.database}.{cfg.raw(version)}"
+        if not files:
+            continue
+        done = L.load_files(spark, L.listing(spark, files), schema, table, paths.get(version))
+        if changed := done.where("STATUS = 'CHANGED'").count():
+            warnings.warn(f"{changed} files of {table} have changed since they were loaded", stacklevel=2)
+    held = loads_of(spark, f"{cfg.database}.{cfg.trips}")
+    if held is None or not spark.catalog.tableExists(f"{held[0]}_files"):
         return write_trips(spark, cfg, paths.get("trips"))
-    rows = transform_trips(A.read_files(spark, new["schema1"], SCHEMA1),
-                           A.read_files(spark, new["schema2"], SCHEMA2))
-    return append_trips(spark, cfg, rows)
+    new = cut_lineage(_not_in_trips(spark, cfg))
+    if not new.limit(1).count():
+        return f"{cfg.database}.{cfg.trips}"
+    rows = [_rows_of(spark, f"{cfg.database}.{cfg.raw(v)}", new) for v in SCHEMAS]
+    return append_trips(spark, cfg, transform_trips(*rows), new)
+
+
+def _rows_of(spark: SparkSession, table: str, files: DataFrame) -> DataFrame:
+    """The rows of ``table`` that come from ``files``; a version without a ledger has none of them."""
+    store = L.store_of(table)
+    if not spark.catalog.tableExists(store):
+        return spark.table(table).limit(0)
+    return spark.table(store).where(F.col(L.REJECTED).isNull()).join(files, L.FILE_ID, "left_semi")
 
 
 def bulk_months(spark: SparkSession, first: str = "2013-06-01", last: str = "2019-12-01") -> DataFrame:
