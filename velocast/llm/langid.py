@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 16
-LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")
 _SPACES = re.compile(r"[\W\d_]+")
 
 
@@ -32,6 +32,11 @@ def grams(text: str) -> np.ndarray:
     return (h >> np.uint64(47)).astype(np.int64) & (BUCKETS - 1)
 
 
+def has_letter(text: str) -> bool:
+    """Whether the text has a letter; numerals such as fractions and superscripts are none."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, bucket, n) over all rows with a language; null texts add nothing."""
     src = docs.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l"))
@@ -114,7 +119,7 @@ def predict(docs: DataFrame, langs: list[str], table: np.ndarray, carried: list[
             name, score, many = [], [], []
             for t in b.column(b.num_columns - 1):
                 t = t.as_py()
-                g = grams(t) if t and langs and LETTER.search(t) else ()
+                g = grams(t) if t and langs and has_letter(t) else ()
                 if len(g):
                     found = infer(g, table)
                     top = max(found, key=lambda k: (found[k], -k))
@@ -147,9 +152,12 @@ def reject(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: st
     Null texts, texts without a letter and, where nothing was learned, all rows go.  A
     document of several languages stays, as its parts are known: with three of them the
     largest share is often below a half.  ``least`` asks for a largest share of that size.
+    Where the language column is null, kept rows get the predicted language.
     """
     langs, table = model_of(train(docs.where(~held_out(id_col)), text, lang))
     # the rows go through the prediction whole, under names that can't clash: nothing is shuffled
     plain = [f"c{i}" for i in range(len(docs.columns))]
     p = predict(docs.toDF(*plain), langs, table, plain, plain[docs.columns.index(text)])
-    return p.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*plain).toDF(*docs.columns)
+    p = p.where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    named, kind = plain[docs.columns.index(lang)], docs.schema[lang].dataType
+    return p.withColumn(named, F.coalesce(named, F.col("lang_pred").cast(kind))).select(*plain).toDF(*docs.columns)
