@@ -61,16 +61,20 @@ def tree_level(spark, sf_dir):
     return best.withColumn("GAIN", F.round("GAIN", 4))
 
 
+#: Few, strong trees: the fleet's signal is one feature and a season.
+FLEET = B.Boost(trees=6, rate=0.5, patience=2)
+
+
 @register("train_trees")
 def train_trees(spark, sf_dir):
-    return B.train_trees(_ship(spark, sf_dir)[0])
+    return B.train_trees(_ship(spark, sf_dir)[0], p=FLEET)
 
 
 @register("explain_trees")
 def explain_trees(spark, sf_dir):
     """In-sample predictions with their Shapley values, which add up to them."""
     f, _, _ = _ship(spark, sf_dir)
-    model = cut_lineage(B.train_trees(f))
+    model = cut_lineage(B.train_trees(f, p=FLEET))
     return B.predict_trees(f, model).join(B.shapley(f, model), ["STATION_ID", "DATE"])
 
 
@@ -78,7 +82,7 @@ def explain_trees(spark, sf_dir):
 def forecast_trees(spark, sf_dir):
     """H10-H17 with trees: train, forecast, explain, pack, flatten."""
     f, holidays, weather = _ship(spark, sf_dir)
-    model = cut_lineage(B.train_trees(f))
+    model = cut_lineage(B.train_trees(f, p=FLEET))
     calendar = H.forecast_calendar_from(f.select(F.max("DATE")), holidays, weather)
     hist = B.explain_trees(B.predict_trees(f, model), model)
     fut = B.explain_trees(cut_lineage(B.forecast_trees(f, model, calendar)), model)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..config import CUTPOINT, FORECAST_STEPS, LAGS, feature_names
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from .features import time_split
 from .model import forecast_rows
 from .relational import COUNT, DATE, STATION
@@ -78,8 +78,7 @@ def best_splits(hist: DataFrame, min_rows: int = 20) -> DataFrame:
     ties to the first feature and the first bin; nodes without a useful split are left out."""
     upto = Window.partitionBy(STATION, "NODE", "K").orderBy("B").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(STATION, "NODE", "K")
-    # one shuffle by node serves the windows and the choice among features
-    h = hist.repartition(STATION, "NODE").withColumns({"NL": F.sum("N").over(upto), "SL": (F.sum("S").over(upto) / UNIT),
+    h = hist.withColumns({"NL": F.sum("N").over(upto), "SL": (F.sum("S").over(upto) / UNIT),
                           "NT": F.sum("N").over(whole), "ST": (F.sum("S").over(whole) / UNIT)})
     nr, sr = F.col("NT") - F.col("NL"), F.col("ST") - F.col("SL")
     h = h.where((F.col("NL") >= min_rows) & (nr >= min_rows)).withColumn(
@@ -91,22 +90,27 @@ def best_splits(hist: DataFrame, min_rows: int = 20) -> DataFrame:
 def grow(rows: DataFrame, p: Boost) -> DataFrame:
     """``rows`` in the leaves of one tree for every station: NODE, PATH (the splits from the root,
     null where there is none), the leaf's value V, and PRED with V added."""
-    rows = rows.withColumns({"NODE": F.lit(1), "PATH": F.array().cast("array<struct<K:int,CUT:double>>")})
+    # the one shuffle: every aggregate, window and join below is by station, or by more than that.
+    # The rows are few and their trees are work, so partitions are not merged by size.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, STATION).withColumns({"NODE": F.lit(1), "PATH": F.array().cast("array<struct<K:int,CUT:double>>")})
     for _ in range(p.depth):
-        s = best_splits(histogram(rows), p.min_rows).select(STATION, "NODE", "K", "CUT")
-        right = F.coalesce(F.get("X", F.col("K")) > F.col("CUT"), F.lit(False)).cast("int")
-        rows = rows.join(s, [STATION, "NODE"], "left").withColumns({
-            "PATH": F.concat("PATH", F.array(F.struct("K", "CUT"))), "NODE": F.col("NODE") * 2 + right}).drop("K", "CUT")
+        best = best_splits(histogram(rows), p.min_rows).groupBy(STATION).agg(
+            F.map_from_entries(F.collect_list(F.struct("NODE", F.struct("K", "CUT")))).alias("SPLITS"))
+        rows = rows.join(best, STATION, "left").withColumn("s", F.try_element_at("SPLITS", "NODE"))
+        right = F.coalesce(F.get("X", F.col("s.K")) > F.col("s.CUT"), F.lit(False)).cast("int")
+        rows = rows.withColumns({"PATH": F.concat("PATH", F.array(F.struct(F.col("s.K"), F.col("s.CUT")))),
+                                 "NODE": F.col("NODE") * 2 + right}).drop("SPLITS", "s")
     r = F.when(~F.col("IS_VALID"), F.round((F.col("Y") - F.col("PRED")) * UNIT).cast("long"))
     leaf = Window.partitionBy(STATION, "NODE")
     rows = rows.withColumn("V", F.coalesce(F.sum(r).over(leaf) / UNIT / F.count(r).over(leaf) * p.rate, F.lit(0.0)))
-    return cut_lineage(rows.withColumn("PRED", F.col("PRED") + F.col("V")))
+    return stored(rows.withColumn("PRED", F.col("PRED") + F.col("V")))
 
 
 def _leaves(rows: DataFrame, step: int) -> DataFrame:
     """A row per leaf of step ``step``: its path, value, training rows, and held-out squared error."""
     error = F.when(F.col("IS_VALID"), F.pow(F.col("Y") - F.col("PRED"), 2))
-    return cut_lineage(rows.groupBy(STATION, "NODE").agg(
+    return stored(rows.groupBy(STATION, "NODE").agg(
         F.first("PATH").alias("PATH"), F.first("V").alias("V"), F.count_if(~F.col("IS_VALID")).alias("N"),
         F.sum(error).alias("SE"), F.count(error).alias("NV")).withColumn("STEP", F.lit(step)))
 
