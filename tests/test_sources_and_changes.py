@@ -151,61 +151,58 @@ def test_snapshot_diff_and_roundtrip(spark):
     assert sorted(merged.collect(), key=str) == sorted(after.collect(), key=str)
 
 
+def _target_table(spark, buckets=8):
+    name = "merged_" + os.path.basename(_tmp()).replace("-", "_")
+    return J.init_target(_target(spark), name, ["K"], buckets=buckets, path=f"{_tmp()}/target")
+
+
+def _state(spark, table):
+    return {r["K"]: r["V"] for r in J.current_state(spark, table).collect()}
+
+
 def test_stream_merge_and_replay_idempotent(spark):
-    base = _tmp()
-    target, changes_dir = f"{base}/target", f"{base}/changes"
-    J.init_target(_target(spark), target, ["K"], buckets=8)
+    base, target = _tmp(), _target_table(spark)
+    changes_dir = f"{base}/changes"
     ch = spark.createDataFrame([(2, "b", "DELETE", False, 1), (7, "g", "INSERT", False, 1),
                                 (1, "a", "DELETE", True, 1), (1, "z", "INSERT", True, 2)], SCHEMA)
     ch.repartition(2, "K").write.parquet(changes_dir)
-    q = J.stream_merge(spark, changes_dir, ch.schema, target, ["K"], f"{base}/_cp", max_files_per_trigger=1)
+    q = J.stream_merge(spark, changes_dir, ch.schema, target, f"{base}/_cp", max_files_per_trigger=1)
     q.awaitTermination()
-    final = {r["K"]: r["V"] for r in J.current_state(spark, target).collect()}
-    assert final == {1: "z", 3: "c", 7: "g", None: "n"}
-    versions = J.committed_versions(spark, target)
-    # replay the last batch: same inputs -> same output version
-    last = versions[-1]
-    batch = spark.read.parquet(changes_dir)
-    J.merge_sink(target, ["K"])(batch.filter("false"), last + 1)      # empty batch: no new version
-    assert J.committed_versions(spark, target) == versions
-    # only the buckets holding changed keys were rewritten; the rest still point at the initial version
-    _, manifest = J._manifest(spark, target)
-    changed = {r["B"] for r in ch.select(J.bucket_of(["K"], 8).alias("B")).collect()}
-    assert {b for b, v in manifest.items() if v is not None and v >= 0} <= changed
-    assert len(manifest) == 8
-    # replaying a batch id rewrites that version from the same inputs
-    J.merge_sink(target, ["K"])(ch.filter(F.col("K") == 7), last)
-    assert {r["K"]: r["V"] for r in J.current_state(spark, target).collect()}.get(7) == "g"
-
-
-def test_expire_versions_keeps_every_live_bucket(spark):
-    base = _tmp()
-    target = f"{base}/target"
-    J.init_target(_target(spark), target, ["K"], buckets=4)
-    sink = J.merge_sink(target, ["K"])
-    for i in range(6):          # six batches, each touching key 1's bucket only
-        sink(spark.createDataFrame([(1, f"v{i}", "DELETE", True, 1), (1, f"v{i}", "INSERT", True, 2)], SCHEMA), i)
-    before = sorted(J.current_state(spark, target).collect(), key=str)
-    removed = J.expire_versions(spark, target, keep=2)
-    assert removed == [0, 1, 2, 3]                # version -1 still holds the untouched buckets
-    assert sorted(J.current_state(spark, target).collect(), key=str) == before
-    assert J.committed_versions(spark, target) == [-1, 4, 5]
-
-
-def test_version_diff_reads_changed_buckets_only_and_equals_full_diff(spark):
-    base = _tmp()
-    target = f"{base}/target"
-    J.init_target(_target(spark), target, ["K"], buckets=8)
-    sink = J.merge_sink(target, ["K"])
-    sink(spark.createDataFrame([(2, "b", "DELETE", False, 1), (1, "a", "DELETE", True, 1),
-                                (1, "z", "INSERT", True, 2), (9, "i", "INSERT", False, 1)], SCHEMA), 0)
-    _, v_old = J.read_version(spark, target, below=0)
-    _, v_new = J.read_version(spark, target)
-    full = J.snapshot_diff(v_old, v_new, ["K"])
-    fast = J.version_diff(spark, target, -1, 0)
-    rows = lambda d: sorted((r["K"], r["V"], r["ACTION"], r["ISUPDATE"]) for r in d.collect())
-    assert rows(fast) == rows(full) == sorted([(1, "a", "DELETE", True), (1, "z", "INSERT", True),
-                                               (2, "b", "DELETE", False), (9, "i", "INSERT", False)])
+    spark.catalog.refreshTable(target)
+    final = {1: "z", 3: "c", 7: "g", None: "n"}
+    assert _state(spark, target) == final
+    sink = J.merge_sink(target)
+    sink(ch.filter("false"), 5)                  # empty batch: nothing happens
+    sink(ch, 6)                                  # a replayed batch changes nothing
+    assert _state(spark, target) == final and J.current_state(spark, target).count() == 4
+
+
+def test_a_batch_rewrites_only_the_partitions_of_its_keys(spark):
+    target = _target_table(spark)
+    files = lambda: {r[0] for r in spark.table(target).select(F.input_file_name()).distinct().collect()}
+    before = files()
+    ch = spark.createDataFrame([(3, "c", "DELETE", True, 1), (3, "cc", "INSERT", True, 2)], SCHEMA)
+    touched = J.apply_changes(ch, target)
+    assert touched == [r["B"] for r in ch.select(J.bucket_of(["K"], 8).alias("B")).distinct().collect()]
+    kept = {f for f in before if f"{J.BUCKET}={touched[0]}/" not in f}
+    assert kept and kept <= files() and _state(spark, target)[3] == "cc"
+
+
+def test_a_partition_without_rows_goes(spark):
+    target = _target_table(spark)
+    everything = _target(spark).select("K", "V", F.lit("DELETE").alias("ACTION"), F.lit(False).alias("ISUPDATE"), F.lit(1).cast("long").alias("SEQ"))
+    J.apply_changes(everything, target)
+    assert _state(spark, target) == {}
+    J.apply_changes(spark.createDataFrame([(9, "i", "INSERT", False, 1)], SCHEMA), target)
+    assert _state(spark, target) == {9: "i"}
+
+
+def test_diff_of_multisets(spark):
+    t = lambda rows: spark.createDataFrame(rows, "K long, V string")
+    before, after = t([(1, "a"), (1, "a"), (2, None), (None, "n"), (None, "n")]), t([(1, "a"), (2, "x"), (None, "n"), (None, "m"), (5, None), (5, None)])
+    got = sorted(((r["K"], r["V"], r["ACTION"], r["ISUPDATE"]) for r in J.snapshot_diff(before, after, ["K"]).collect()), key=str)
+    assert got == sorted([(1, "a", "DELETE", False), (2, None, "DELETE", True), (2, "x", "INSERT", True), (None, "n", "DELETE", True),
+                          (None, "m", "INSERT", True), (5, None, "INSERT", False), (5, None, "INSERT", False)], key=str)
 
 
 def test_catalog_helpers(spark):

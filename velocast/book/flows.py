@@ -314,12 +314,11 @@ def snapshot_diff(spark, sf_dir):
 def stream_merge(spark, sf_dir):
     """The change records as several files, drained by a micro-batch stream."""
     base = scratch_path(spark, "cdc")
-    changes_dir, target = f"{base}/changes", f"{base}/target"
+    changes_dir, target = f"{base}/changes", _name("merged")
     ch = fx.changes(spark, sf_dir)
     ch.repartition(4, F.pmod(F.col("ORDERKEY"), F.lit(4))).write.mode("overwrite").parquet(changes_dir)
-    J.init_target(fx.order_rows(spark, sf_dir), target, KEYS)
-    q = J.stream_merge(spark, changes_dir, ch.schema, target, KEYS, checkpoint=f"{base}/_checkpoint",
-                       max_files_per_trigger=2, keep_versions=2)
+    J.init_target(fx.order_rows(spark, sf_dir), target, KEYS, buckets=8, path=f"{base}/target")
+    q = J.stream_merge(spark, changes_dir, ch.schema, target, checkpoint=f"{base}/_checkpoint", max_files_per_trigger=2)
     q.awaitTermination()
     return J.current_state(spark, target)
 

@@ -32,13 +32,18 @@ def first_match_label(value, candidates: list[str]) -> Column:
     return expr
 
 
-def category_codes(df: DataFrame, col: str, out: str = "CODE") -> DataFrame:
+def category_codes(df: DataFrame, col: str, out: str = "CODE", known: list[str] | None = None) -> DataFrame:
     """code = rank of the label among the sorted distinct labels; NULL -> -1.
 
-    The distinct labels are ranked over range partitions
+    Where the labels can only be some of ``known`` (not checked), those that occur are
+    one small array, found by one aggregate, and a label's code is its place in it.  Else
+    the distinct labels are ranked over range partitions
     (``ordinal_of_distinct``), so no task sees all labels and nothing goes
     through the driver; Spark broadcasts the ranked labels if they are small.
     """
+    if known is not None:
+        labels = df.agg(F.sort_array(F.collect_set(col))).scalar()
+        return df.withColumn(out, F.coalesce(F.array_position(labels, F.col(col)) - 1, F.lit(-1)).cast("int"))
     ranked = ordinal_of_distinct(df.select(col).where(F.col(col).isNotNull()).distinct(), col, out)
     return (df.join(ranked, on=col, how="left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("int")))

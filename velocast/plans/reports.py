@@ -25,7 +25,7 @@ def forecast_report(forecast: DataFrame, stations: list[str], start, end,
     df = explain_reason(df, EXPLAINERS)
     out = df.select("STATION_ID", "DATE", "PRED", "REASON", "EXPLAIN",
                     *[F.col(e).alias(b) for e, b in zip(EXPLAINERS, BUSINESS_NAMES)])
-    return category_codes(out, "REASON", "REASON_CODE") if with_codes else out
+    return category_codes(out, "REASON", "REASON_CODE", known=EXPLAINERS) if with_codes else out
 
 
 def model_monitor(evals: DataFrame, stations: list[str], metric: str = "rmse") -> DataFrame:

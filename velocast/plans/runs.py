@@ -99,7 +99,7 @@ def monthly_run(spark: SparkSession, cfg: RunConfig, landed: DataFrame, weather_
 
 
 def cdc_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame, changes_dirs: dict[str, str],
-            root: str, keys: dict[str, list[str]] | None = None, keep_versions: int = 10) -> str:
+            root: str, keys: dict[str, list[str]] | None = None) -> str:
     """Files -> raw tables -> change streams merged into interim tables -> TRIPS.
 
     The interim tables start from the raw rows (the stream's initial rows),
@@ -115,12 +115,11 @@ def cdc_elt(spark: SparkSession, cfg: RunConfig, landed: DataFrame, changes_dirs
         K.A.append_files_to_raw(spark, files, schema, cfg.raw(version))
     interim = {}
     for version in K.SCHEMAS:
-        target = f"{root}/interim_{version}"
-        J.init_target(spark.table(cfg.raw(version)), target, keys[version])
+        target = f"{cfg.database}.interim_{version}"
+        J.init_target(spark.table(cfg.raw(version)), target, keys[version], path=f"{root}/interim_{version}")
         if version in changes_dirs:
             schema = spark.read.parquet(changes_dirs[version]).schema
-            q = J.stream_merge(spark, changes_dirs[version], schema, target, keys[version],
-                               checkpoint=f"{root}/_checkpoints/{version}", keep_versions=keep_versions)
+            q = J.stream_merge(spark, changes_dirs[version], schema, target, checkpoint=f"{root}/_checkpoints/{version}")
             q.awaitTermination()
         interim[version] = J.current_state(spark, target)
     trips = K.transform_trips(interim["schema1"], interim["schema2"])

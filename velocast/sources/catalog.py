@@ -27,6 +27,19 @@ def write_append(df: DataFrame, table: str, path: str | None = None) -> str:
     return table
 
 
+def overwrite_partitions(rows: DataFrame, table: str, by: str) -> None:
+    """Put ``rows`` in place of the partitions of ``table`` that they belong to; others stay."""
+    spark, key = rows.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    view, before = f"_velocast_rows_{uuid.uuid4().hex[:10]}", spark.conf.get(key)
+    rows.select(*spark.table(table).columns).createOrReplaceTempView(view)
+    spark.conf.set(key, "dynamic")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({by}) SELECT * FROM {view}")
+    finally:
+        spark.conf.set(key, before)
+        spark.catalog.dropTempView(view)
+
+
 def temp_table(df: DataFrame, name: str, cache: bool = True) -> DataFrame:
     """Session-scoped table (cached temp view)."""
     if cache:

@@ -13,7 +13,6 @@ One load at a time may write to a table.
 
 from __future__ import annotations
 
-import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import files as A
+from .catalog import overwrite_partitions
 
 REJECTED, FILE, FILE_ID = "REJECTED", "FILE", "FILE_ID"
 LEDGER = "PATH STRING, NAME STRING, LENGTH BIGINT, MODIFIED TIMESTAMP, FILE_ID STRING, N_ROWS BIGINT, N_REJECTED BIGINT, LOADED_AT TIMESTAMP"
@@ -110,7 +110,7 @@ def create(spark: SparkSession, table: str, schema: T.StructType, path: str | No
     if spark.catalog.tableExists(table):
         before = spark.table(table).select(*schema.fieldNames())
         if n := before.count():
-            _put(spark, store, before.withColumns({REJECTED: F.lit(None).cast("string"), FILE: F.lit(table), FILE_ID: F.lit("before")}))
+            overwrite_partitions(before.withColumns({REJECTED: F.lit(None).cast("string"), FILE: F.lit(table), FILE_ID: F.lit("before")}), store, FILE_ID)
             _log(spark, ledger, spark.range(1).select(F.lit(table).alias("PATH"), F.lit(table).alias("NAME"), F.lit(0).alias("LENGTH"), F.lit(None).alias("MODIFIED"),
                                                       F.lit("before").alias(FILE_ID), F.lit(n).alias("N_ROWS"), F.lit(0).alias("N_REJECTED")))
         spark.sql(f"DROP TABLE {table}")
@@ -121,19 +121,6 @@ def create(spark: SparkSession, table: str, schema: T.StructType, path: str | No
     return table
 
 
-def _put(spark: SparkSession, store: str, rows: DataFrame) -> None:
-    """Write the partitions that ``rows`` has, in place of those of the same files."""
-    view, key = f"_velocast_rows_{uuid.uuid4().hex[:10]}", "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    rows.select(*spark.table(store).columns).createOrReplaceTempView(view)
-    spark.conf.set(key, "dynamic")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {store} PARTITION ({FILE_ID}) SELECT * FROM {view}")
-    finally:
-        spark.conf.set(key, before)
-        spark.catalog.dropTempView(view)
-
-
 def _log(spark: SparkSession, ledger: str, entries: DataFrame) -> None:
     entries.withColumn("LOADED_AT", F.current_timestamp()).select(
         *[F.col(f.name).cast(f.dataType) for f in spark.table(ledger).schema.fields]).coalesce(1).write.insertInto(ledger)
@@ -161,7 +148,7 @@ def load_files(spark: SparkSession, listed: DataFrame, schema: T.StructType, tab
     counts = None
     if load:
         rows = read_checked(spark, [unquote(r["PATH"]) for r in load], schema)  # the listing's names are encoded
-        _put(spark, store_of(table), rows.join(now.select(F.col("PATH").alias(FILE), FILE_ID), FILE))
+        overwrite_partitions(rows.join(now.select(F.col("PATH").alias(FILE), FILE_ID), FILE), store_of(table), FILE_ID)
         spark.catalog.refreshTable(store_of(table))
         written = spark.table(store_of(table)).where(F.col(FILE_ID).isin([r[FILE_ID] for r in load]))
         counts = written.groupBy(FILE_ID).agg(F.count_if(F.col(REJECTED).isNull()).alias("N_ROWS"), F.count(REJECTED).alias("N_REJECTED"))

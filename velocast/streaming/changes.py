@@ -4,25 +4,22 @@ Change records carry the target's columns plus ACTION ('INSERT'/'DELETE'),
 ISUPDATE and a sequence number.  An update arrives as a DELETE + INSERT pair
 with ISUPDATE = true (the change-stream convention).
 
-Plain Parquet has no transactional MERGE, so a merge produces a *new
-version* of the table: version N holds the rewritten key buckets touched by
-batch N, and its manifest names, for every bucket, the version holding it.
-Version N is written from the newest version < N plus batch N, so a replayed
-micro-batch rewrites the same version from the same inputs (idempotent); a
-version counts only once its manifest exists.
+A merge applied twice gives the same table as once (the last change of a key
+decides), so a micro-batch that is replayed, or was cut off half-way, is simply
+applied again.  The streaming target is a plain Spark table partitioned by a hash
+of the key: a batch reads and overwrites only the partitions that its keys fall
+into, and Spark's own commit of a partition overwrite is the only commit.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-from pyspark.sql import types as T
 
+from ..session import cut_lineage
+from ..sources.catalog import overwrite_partitions, read_tags
 
 ACTION, ISUPDATE, SEQ = "ACTION", "ISUPDATE", "SEQ"
 META = (ACTION, ISUPDATE, SEQ)
@@ -78,242 +75,97 @@ def snapshot_diff(before: DataFrame | None, after: DataFrame, keys: list[str]) -
     """Change set between two states; with no ``before`` every row is an INSERT.
 
     Rows whose non-key columns differ (null-safe) yield a DELETE of the old
-    and an INSERT of the new row, both with ISUPDATE = true.
+    and an INSERT of the new row, both with ISUPDATE = true.  States are
+    multisets: a row that repeats counts as often as it is there, and the rows of
+    a repeated key are updates where both sides have some that the other lacks.
     """
     cols = after.columns
     if before is None:
         return after.select(*cols, F.lit("INSERT").alias(ACTION), F.lit(False).alias(ISUPDATE))
-    data_cols = [c for c in cols if c not in keys]
-    # rows of one key are numbered in the order of their contents on both sides, so equal
-    # states pair row by row and a repeated or null key does not multiply
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*cols)))
-    b = before.select(*cols).withColumns({"_B": F.lit(True), "_N": nth}).alias("b")
-    a = after.select(*cols).withColumns({"_A": F.lit(True), "_N": nth}).alias("a")
-    j = b.join(a, _key_match(b, a, [*keys, "_N"]), "full")
-    in_b, in_a = F.col("b._B").isNotNull(), F.col("a._A").isNotNull()
-    same = reduce(lambda x, y: x & y, [F.col(f"b.{x}").eqNullSafe(F.col(f"a.{x}")) for x in data_cols],
-                  F.lit(True))
-    old = F.struct(*[F.col(f"b.{x}").alias(x) for x in cols], F.lit("DELETE").alias(ACTION))
-    new = F.struct(*[F.col(f"a.{x}").alias(x) for x in cols], F.lit("INSERT").alias(ACTION))
-    upd = in_a & in_b & ~same
-    events = (F.when(in_a & ~in_b, F.array(new))
-              .when(in_b & ~in_a, F.array(old))
-              .when(upd, F.array(old, new)))
-    return (j.select(F.explode(events).alias("_E"), upd.alias(ISUPDATE))
-            .select("_E.*", ISUPDATE).select(*cols, ACTION, ISUPDATE))
-
-
-# ------------------------------------------------------- versioned target
-#
-# Layout under ``root``:
-#   _layout.json                       keys, bucket count, data schema
-#   VERSION=N/VBUCKET=b/part-*.parquet  the rows of key bucket b written by version N
-#   VERSION=N/_MANIFEST.json           for every bucket: the version holding it (or null = empty)
-#
-# A merge reads and rewrites only the buckets its micro-batch touches; the
-# manifest (written last, the commit marker) carries the other buckets over
-# by reference.  Reading a state is one manifest plus at most B folders.
+    side = lambda df, n: df.select(*cols, F.lit(n).cast("long").alias("_N"))
+    # equal rows of both states cancel out in one aggregate, which combines map-side
+    net = side(after, 1).unionByName(side(before, -1)).groupBy(*cols).agg(F.sum("_N").alias("_N")).where("_N <> 0")
+    # of what is left, keys with rows on both sides are updates
+    both = net.groupBy(*keys).agg((F.max("_N") > 0).alias("_I"), (F.min("_N") < 0).alias("_D")).where("_I AND _D")
+    n, k = net.alias("n"), both.select(*keys, F.lit(True).alias("_U")).alias("k")
+    out = n.join(k, _key_match_by(keys), "left").select(
+        *[F.col(f"n.{c}").alias(c) for c in cols], F.when(F.col("_N") > 0, "INSERT").otherwise("DELETE").alias(ACTION),
+        F.coalesce("_U", F.lit(False)).alias(ISUPDATE), F.abs("_N").alias("_N"))
+    return out.withColumn("_C", F.explode(F.sequence(F.lit(1), F.col("_N")))).select(*cols, ACTION, ISUPDATE)
+
+
+def _key_match_by(keys: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"n.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys])
+
+
+# ------------------------------------------------------- streaming target
 
 BUCKET = "VBUCKET"
-# Key buckets of a versioned target; a merge rewrites only the buckets it touches.
-# Unless given, the count follows the initial size: about ROWS_PER_BUCKET rows each.
+#: Key partitions of a target; unless given, their number follows its initial size.
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 16_384
-MAX_RECORDS_PER_FILE = 5_000_000
+BUCKETS_TAG, KEYS_TAG = "velocast.buckets", "velocast.keys"
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
-    """Bucket of a row: a function of the key columns only (null-safe hash)."""
+    """Partition of a row: a function of the key columns only (null-safe hash)."""
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write under another name, then rename: a reader sees the whole text or none."""
-    fs, p, jvm = _fs(spark, path)
-    part = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
-    out = fs.create(part, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(part, p):
-        raise OSError(f"cannot rename {part.toString()} to {path}")
-
+def init_target(df: DataFrame, table: str, keys: list[str], buckets: int | None = None, path: str | None = None) -> str:
+    """Initial state, e.g. the raw table's current rows, as a table partitioned by key."""
+    if buckets is None:
+        buckets = max(1, -(-df.count() // ROWS_PER_BUCKET))
+    # rows clustered by partition; AQE splits a skewed one over several files
+    w = df.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET)
+    (w.option("path", path) if path else w).saveAsTable(table)
+    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_TAG}' = '{int(buckets)}', '{KEYS_TAG}' = '{','.join(keys)}')")
+    return table
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p, jvm = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
 
+def current_state(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).drop(BUCKET)
 
-def _layout(spark: SparkSession, root: str) -> dict:
-    return json.loads(_read_text(spark, f"{root}/_layout.json"))
 
+def apply_changes(batch: DataFrame, table: str) -> list[int]:
+    """J1 on a target table: merge a batch into the partitions that its keys fall into.
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions of a target whose manifest (the commit marker) exists."""
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
+    Returns those partitions.  The merged rows are computed before anything is
+    overwritten; a partition that is left without rows is dropped.  Applying a
+    batch again changes nothing.
+    """
+    spark = batch.sparkSession
+    tags = {r["key"]: r["value"] for r in read_tags(spark, table).collect()}
+    keys, n = tags[KEYS_TAG].split(","), int(tags[BUCKETS_TAG])
+    # at most n small values
+    touched = sorted(r[0] for r in batch.select(bucket_of(keys, n).alias("b")).distinct().collect())
+    if not touched:
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("VERSION="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_MANIFEST.json")):
-                out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
-def _manifest(spark: SparkSession, root: str, below: int | None = None) -> tuple[int, dict]:
-    vs = [v for v in committed_versions(spark, root) if below is None or v < below]
-    if not vs:
-        raise FileNotFoundError(f"no committed version under {root}")
-    m = json.loads(_read_text(spark, f"{root}/VERSION={vs[-1]}/_MANIFEST.json"))
-    return vs[-1], {int(b): v for b, v in m["buckets"].items()}
-
-
-def _write_buckets(df: DataFrame, root: str, version: int, keys: list[str], buckets: int,
-                   touched: list[int], base: dict) -> None:
-    """Write ``df`` (rows of the ``touched`` buckets) as ``version``, then its manifest."""
-    spark = df.sparkSession
-    path = f"{root}/VERSION={version}"
-    # rows clustered by bucket (not one file per task and bucket); AQE splits
-    # a skewed bucket (e.g. many null keys) over several writers and rolls
-    # very large ones into several files
-    (df.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
-       .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-       .partitionBy(BUCKET).parquet(path))
-    fs, p, _ = _fs(spark, path)
-    written = {int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-               if st.isDirectory() and st.getPath().getName().startswith(f"{BUCKET}=")}
-    manifest = dict(base)
+    now = spark.table(table).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    merged = cut_lineage(merge_changes(now, batch, keys).withColumn(BUCKET, bucket_of(keys, n)))
+    overwrite_partitions(merged.hint("rebalance", BUCKET), table, BUCKET)
+    full = {r[0] for r in merged.select(BUCKET).distinct().collect()}
     for b in touched:
-        manifest[b] = version if b in written else None
-    _write_text(spark, f"{path}/_MANIFEST.json",
-                json.dumps({"version": version, "buckets": {str(b): v for b, v in sorted(manifest.items())}}))
-
+        if b not in full:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {b})")
+    spark.catalog.refreshTable(table)
+    return touched
 
-def _read_buckets(spark: SparkSession, root: str, manifest: dict, schema: T.StructType,
-                  only: list[int] | None = None) -> DataFrame:
-    wanted = manifest.keys() if only is None else only
-    paths = [f"{root}/VERSION={manifest[b]}/{BUCKET}={b}" for b in sorted(wanted)
-             if manifest.get(b) is not None]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
 
-
-def init_target(df: DataFrame, root: str, keys: list[str], buckets: int | None = None) -> None:
-    """Initial state (version -1), e.g. the raw table's current rows, split into key buckets.
-
-    Without ``buckets`` the count is ceil(rows / ROWS_PER_BUCKET), between 1
-    and MAX_BUCKETS, so a bucket rewrite stays a few files whatever the size.
-    """
-    spark = df.sparkSession
-    if buckets is None:
-        buckets = min(MAX_BUCKETS, max(1, -(-df.count() // ROWS_PER_BUCKET)))
-    _write_text(spark, f"{root}/_layout.json",
-                json.dumps({"keys": list(keys), "buckets": int(buckets), "schema": df.schema.jsonValue()}))
-    _write_buckets(df, root, -1, keys, buckets, list(range(buckets)), {})
-
-
-def read_version(spark: SparkSession, root: str, below: int | None = None) -> tuple[int, DataFrame]:
-    """The newest committed state (strictly below version ``below`` if given)."""
-    layout = _layout(spark, root)
-    v, manifest = _manifest(spark, root, below)
-    return v, _read_buckets(spark, root, manifest, T.StructType.fromJson(layout["schema"]))
-
-
-def version_diff(spark: SparkSession, root: str, before: int, after: int) -> DataFrame:
-    """J2 between two committed versions of a bucketed target.
-
-    Only buckets whose manifest entries differ can hold changes, so only
-    those are read from both versions and compared (``snapshot_diff``); the
-    cost follows the change, not the table.
-    """
-    layout = _layout(spark, root)
-    schema = T.StructType.fromJson(layout["schema"])
-    _, old = _manifest(spark, root, below=before + 1)
-    _, new = _manifest(spark, root, below=after + 1)
-    changed = sorted(b for b in set(old) | set(new) if old.get(b) != new.get(b))
-    return snapshot_diff(_read_buckets(spark, root, old, schema, only=changed),
-                         _read_buckets(spark, root, new, schema, only=changed), layout["keys"])
-
-
-def expire_versions(spark: SparkSession, root: str, keep: int = 10) -> list[int]:
-    """Delete version folders that no longer hold any live bucket; return them.
-
-    The newest ``keep`` committed versions stay (a replayed batch reads the
-    newest version below it), together with every version their manifests
-    still point at.  Older versions, and uncommitted leftovers below the kept
-    range, are removed.
-    """
-    keep = max(int(keep), 2)      # a replay of the newest batch reads the version before it
-    committed = committed_versions(spark, root)
-    if len(committed) <= keep:
-        return []
-    kept = committed[-keep:]
-    live = set(kept)
-    for v in kept:
-        _, manifest = _manifest(spark, root, below=v + 1)
-        live |= {x for x in manifest.values() if x is not None}
-    fs, p, jvm = _fs(spark, root)
-    removed = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("VERSION="):
-            v = int(name.split("=", 1)[1])
-            if v < kept[0] and v not in live:
-                fs.delete(st.getPath(), True)
-                removed.append(v)
-    return sorted(removed)
-
-
-def merge_sink(root: str, keys: list[str], keep_versions: int | None = None):
-    """J1 as a ``foreachBatch`` function: empty batch -> no-op; replay-safe.
-
-    Version N is written from the newest committed version below N and batch
-    N only, so a replayed batch rewrites the same version.  Only the key
-    buckets that occur in the batch are read, merged and rewritten.  With
-    ``keep_versions`` set, versions that hold no live bucket are expired
-    after each commit.
-    """
+def merge_sink(table: str):
+    """J1 as a ``foreachBatch`` function: empty batch -> no-op; replay-safe."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()      # read once: emptiness, buckets and the merge reuse it
+        batch = batch.persist()      # read once: partitions and the merge reuse it
         try:
-            if batch.isEmpty():
-                return
-            spark = batch.sparkSession
-            layout = _layout(spark, root)
-            n = layout["buckets"]
-            schema = T.StructType.fromJson(layout["schema"])
-            _, manifest = _manifest(spark, root, below=batch_id)
-            # at most n small values: the bucket ids present in the batch
-            touched = sorted(r[0] for r in batch.select(bucket_of(keys, n).alias("_B")).distinct().collect())
-            current = _read_buckets(spark, root, manifest, schema, only=touched)
-            _write_buckets(merge_changes(current, batch, keys), root, batch_id, keys, n, touched, manifest)
+            apply_changes(batch, table)
         finally:
             batch.unpersist()
-        if keep_versions:
-            expire_versions(spark, root, keep_versions)
     return apply
 
 
-def stream_merge(spark: SparkSession, changes_dir: str, schema, root: str, keys: list[str],
+def stream_merge(spark: SparkSession, changes_dir: str, schema, table: str,
                  checkpoint: str, available_now: bool = True, interval: str = "1 minute",
-                 max_files_per_trigger: int | None = None, keep_versions: int | None = None):
-    """Change files -> micro-batches -> J1 merge into the versioned target.
+                 max_files_per_trigger: int | None = None):
+    """Change files -> micro-batches -> J1 merge into the target table.
 
     Production runs every ``interval``; tests drain what is there with
     ``availableNow``.  Returns the started StreamingQuery.
@@ -321,12 +173,6 @@ def stream_merge(spark: SparkSession, changes_dir: str, schema, root: str, keys:
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(changes_dir)
-    w = src.writeStream.foreachBatch(merge_sink(root, keys, keep_versions)).option(
-        "checkpointLocation", checkpoint)
+    w = reader.parquet(changes_dir).writeStream.foreachBatch(merge_sink(table)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
-
-
-def current_state(spark: SparkSession, root: str) -> DataFrame:
-    return read_version(spark, root)[1]
