@@ -144,9 +144,13 @@ def unpack_zip_csv(spark, sf_dir):
                       "START_STATION_ID", "START_STATION_LATITUDE", "END_STATION_NAME")
 
 
-@register("list_files")
+@register("list_files", f"""
+SELECT strftime(o_orderdate + INTERVAL {RAW2_SHIFT} MONTH, '%Y%m') || '-citibike-tripdata.csv.gz' AS NAME, true AS HAS_BYTES
+FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1""")
 def list_files(spark, sf_dir):
-    return AF.list_files(spark, sf_dir, "*.parquet")
+    """A5 over the schema2 files landed from the orders."""
+    _, listed = _landed(spark, sf_dir, ("schema2",))
+    return listed.select("NAME", (F.col("LENGTH") > 0).alias("HAS_BYTES"))
 
 
 @register("append_files_to_raw", with_ctes(RAW2) + f"SELECT {CONF} FROM raw2")
@@ -266,10 +270,14 @@ def local_to_table(spark, sf_dir):
     return A.local_to_table(spark, A.fetch_bounded(top, 3), top.schema)
 
 
-@register("table_schema")
+_TRIP_TYPES = {"STARTTIME": "timestamp_ntz", "STOPTIME": "timestamp_ntz", "START_STATION_NAME": "string", "START_STATION_ID": "string", "USERTYPE": "string"}
+
+
+@register("table_schema", with_ctes(TRIPS) + " UNION ALL ".join(
+    f"SELECT {i} AS POSITION, '{c}' AS NAME, '{t}' AS TYPE, count(*) AS N_ROWS, count(*) - count({c}) AS N_NULL FROM trips"
+    for i, (c, t) in enumerate(_TRIP_TYPES.items())))
 def table_schema(spark, sf_dir):
-    return A.table_schema(H.feature_table(fx.trips(spark, sf_dir), fx.holidays(spark, sf_dir),
-                                          fx.weather(spark, sf_dir)))
+    return A.column_profile(fx.trips(spark, sf_dir))
 
 
 @register("run_sql", with_ctes(TRIPS, DAILY) +

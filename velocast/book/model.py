@@ -176,15 +176,57 @@ def train_gram(spark, sf_dir):
     return M.train_gram(_features(spark, sf_dir))
 
 
-@register("train_per_station")
+def _coefs_ctes(alpha: float = 1.0) -> list[str]:
+    """The ridge of every station in SQL: standardised moments from the Gram sums, Gauss-Jordan
+    elimination of one pivot a step, coefficients in the features' units."""
+    p = len(FEATS)
+    pair = lambda i, j: f"S_{FEATS[min(i, j)]}_{FEATS[max(i, j)]}"
+    cells = [f"SELECT STATION_ID AS T, {i} AS I, {j} AS J, N, {pair(i, j)} / N - (S_{a} / N) * (S_{b} / N) AS V FROM gram"
+             for i, a in enumerate(FEATS) for j, b in enumerate(FEATS)]
+    cells += [f"SELECT STATION_ID, {i}, {p}, N, S_{a}_Y / N - (S_{a} / N) * (S_Y / N) FROM gram" for i, a in enumerate(FEATS)]
+    get = lambda f: [f"{f(i, c)}" for i, c in enumerate(FEATS)]
+    beta = get(lambda i, c: f"max(G / SD) FILTER (I = {i} AND SD > 1e-12)")
+    return [f"gram AS ({_gram_sql()})", f"cells AS ({' UNION ALL '.join(cells)})",
+            "sds AS (SELECT T, I, sqrt(greatest(V, 0)) AS SD FROM cells WHERE I = J)",
+            f"""std AS (SELECT c.T, c.I, c.J, CASE WHEN a.SD <= 1e-12 OR b.SD <= 1e-12 THEN 0 ELSE V / a.SD / coalesce(b.SD, 1) END
+         + CASE WHEN c.I = c.J THEN {alpha} / N ELSE 0 END AS G
+       FROM cells c JOIN sds a ON c.T = a.T AND c.I = a.I LEFT JOIN sds b ON c.T = b.T AND c.J = b.I)""",
+            f"""gj AS (SELECT T, 0 AS P, I, J, G FROM std
+  UNION ALL
+  SELECT T, P + 1, I, J, CASE WHEN I = P THEN G / D ELSE G - A * C / D END FROM (
+    SELECT *, max(G) FILTER (J = P) OVER (PARTITION BY T, I) AS A, max(G) FILTER (I = P) OVER (PARTITION BY T, J) AS C,
+           max(G) FILTER (I = P AND J = P) OVER (PARTITION BY T) AS D FROM gj) WHERE P < {p} AND J > P)""",
+            f"""betas AS (SELECT j.T, {', '.join(f'coalesce({b}, 0) AS B_{c}' for b, c in zip(beta, FEATS))},
+         {', '.join(get(lambda i, c: f'max(SD) FILTER (I = {i}) AS SD_{c}'))}
+       FROM gj j JOIN sds USING (T, I) WHERE P = {p} AND J = {p} GROUP BY j.T)""",
+            f"""coefs AS (SELECT STATION_ID, N AS N_TRAIN, S_Y / N - ({' + '.join(f'B_{c} * (S_{c} / N)' for c in FEATS)}) AS INTERCEPT,
+         {', '.join(f'B_{c}, S_{c} / N AS MEAN_{c}, SD_{c}' for c in FEATS)} FROM gram g JOIN betas b ON g.STATION_ID = b.T)""",
+            f"""hist AS (SELECT f.*, INTERCEPT + {' + '.join(f'B_{c} * CAST({c} AS DOUBLE)' for c in FEATS)} AS PRED,
+         {', '.join(f'abs(B_{c} * (CAST({c} AS DOUBLE) - MEAN_{c})) AS A_{c}' for c in FEATS)}
+       FROM features f JOIN coefs USING (STATION_ID))""",
+            f"""expl AS (SELECT STATION_ID, DATE, {', '.join(
+                f"CAST(round(CASE WHEN {' + '.join(f'A_{c}' for c in FEATS)} > 0 THEN A_{x} / ({' + '.join(f'A_{c}' for c in FEATS)}) ELSE 0 END, 2) AS DECIMAL(10,2)) AS EXPL_{x}" for x in FEATS)}
+       FROM hist)"""]
+
+
+def _with_coefs(sql: str) -> str:
+    return "WITH RECURSIVE" + with_ctes(*BASE, *features_ctes(), SPLIT_SQL, *_coefs_ctes())[4:] + sql
+
+
+_FEATURE_COLS = f"STATION_ID, DATE, \"COUNT\", {', '.join(FEATS)}"
+_COEF_COLS = ["INTERCEPT", *[f"{x}_{c}" for c in FEATS for x in ("B", "MEAN", "SD")]]
+
+
+@register("train_per_station", _with_coefs(f"SELECT STATION_ID, N_TRAIN, {', '.join(f'round({c}, 6) AS {c}' for c in _COEF_COLS)} FROM coefs"))
 def train_per_station(spark, sf_dir):
-    return M.train_per_station(_features(spark, sf_dir))
+    t = M.train_per_station(_features(spark, sf_dir))
+    return t.withColumns({c: F.round(c, 6) for c in _COEF_COLS})
 
 
-@register("predict_history")
+@register("predict_history", _with_coefs(f"SELECT {_FEATURE_COLS}, round(PRED, 6) AS PRED FROM hist"))
 def predict_history(spark, sf_dir):
     f = _features(spark, sf_dir)
-    return M.predict_history(f, M.train_per_station(f))
+    return M.predict_history(f, M.train_per_station(f)).withColumn("PRED", F.round("PRED", 6))
 
 
 @register("forecast_recursive")
@@ -193,14 +235,15 @@ def forecast_recursive(spark, sf_dir):
     return M.forecast_recursive(f, M.train_per_station(f), _calendar(spark, sf_dir))
 
 
-@register("explain_rows")
+@register("explain_rows", _with_coefs(f"SELECT {_FEATURE_COLS}, round(PRED, 6) AS PRED, expl.* EXCLUDE (STATION_ID, DATE) FROM hist JOIN expl USING (STATION_ID, DATE)"))
 def explain_rows(spark, sf_dir):
     f = _features(spark, sf_dir)
     coefs = M.train_per_station(f)
-    return M.explain_rows(M.predict_history(f, coefs), coefs)
+    return M.explain_rows(M.predict_history(f, coefs), coefs).withColumn("PRED", F.round("PRED", 6))
 
 
-@register("feature_importance")
+@register("feature_importance", _with_coefs("SELECT STATION_ID, " + ", ".join(
+    f"round(avg(CAST(EXPL_{c} AS DOUBLE)), 4) AS IMP_{c}" for c in FEATS) + " FROM expl GROUP BY STATION_ID"))
 def feature_importance(spark, sf_dir):
     f = _features(spark, sf_dir)
     coefs = M.train_per_station(f)
@@ -283,15 +326,15 @@ def flatten_eval(spark, sf_dir):
 
 @register("flat_forecast")
 def flat_forecast(spark, sf_dir):
-    """The model path end to end: train, forecast, explain, pack, flatten."""
+    """The model path to flat_FORECAST: train, forecast, explain, flatten.  Only where PRED is
+    written are the rows packed."""
     f = cut_lineage(_features(spark, sf_dir))
     coefs = cut_lineage(M.train_per_station(f))
-    hist = M.explain_rows(M.predict_history(f, coefs), coefs)
     # the kept stations all end on the last trip date (E4), so the calendar
     # starts from the checkpointed features instead of another trips scan
     cal = H.forecast_calendar_from(f.select(F.max("DATE")), fx.holidays(spark, sf_dir), fx.weather(spark, sf_dir))
     fut = M.explain_rows(M.forecast_recursive(f, coefs, cal), coefs)
-    return EV.flatten_predictions(EV.pack_predictions(hist, fut), 1)
+    return EV.flat_rows(fut)
 
 
 # ------------------------------------------------------------ I1 - I3

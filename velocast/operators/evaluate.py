@@ -83,8 +83,12 @@ def flatten_predictions(pred: DataFrame, index: int, lags=LAGS) -> DataFrame:
     Integers for counts, lags and the holiday flag; decimal(10,2) for weather,
     prediction and explanations (see SURVEY section 8.10).
     """
+    return flat_rows(pred.select(STATION, F.inline(F.from_json(F.col("PRED_DATA")[index], _record_schema(lags)))), lags)
+
+
+def flat_rows(recs: DataFrame, lags=LAGS) -> DataFrame:
+    """H17's typed columns of prediction rows, packed before or not."""
     feats = feature_names(lags)
-    recs = pred.select(STATION, F.inline(F.from_json(F.col("PRED_DATA")[index], _record_schema(lags))))
     dec = "decimal(10,2)"
     return recs.select(
         STATION, F.to_date(DATE).alias(DATE), F.col(COUNT).cast("bigint").alias(COUNT),

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -144,6 +145,15 @@ def table_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "POSITION int, NAME string, TYPE string, NULLABLE boolean")
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """A18 with the data: position, name and type of each column, its rows and nulls, in one aggregate."""
+    fields = list(enumerate(df.schema.fields))
+    sums = df.agg(F.count(F.lit(1)).alias("N"), *[F.count(f"`{f.name}`").alias(f"C{i}") for i, f in fields])
+    row = lambda i, f: F.struct(F.lit(i).alias("POSITION"), F.lit(f.name).alias("NAME"), F.lit(f.dataType.simpleString()).alias("TYPE"),
+                                F.col("N").alias("N_ROWS"), (F.col("N") - F.col(f"C{i}")).alias("N_NULL"))
+    return sums.select(F.inline(F.array(*[row(i, f) for i, f in fields])))
+
+
 def run_sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = None,
             args: dict | None = None) -> DataFrame:
     """SQL text over named frames, with named parameters (``:name``)."""
