@@ -1,5 +1,5 @@
-"""Registered queries for the boosted trees (H10-H14), the maximum-likelihood baselines (H8) and
-the augmented unit-root test (H7)."""
+"""Registered queries for the boosted trees (H10-H14), the maximum-likelihood baselines (H8),
+the augmented unit-root test (H7), the polymorphic table function (I1) and VARIANT documents (G16)."""
 
 from __future__ import annotations
 
@@ -10,12 +10,14 @@ from ..config import feature_names
 from ..functions.calendar import holidays_for_range
 from ..operators import arima as AR
 from ..operators import boost as B
+from ..operators import documents as D
 from ..operators import evaluate as EV
 from ..operators import features as H
+from ..operators import polymorphic as PM
 from ..operators import unitroot as U
-from ..session import cut_lineage
-from . import BASE, features_ctes, register, with_ctes
-from .model import LDAILY, SPLIT_SQL, dense_daily
+from ..session import cut_lineage, scratch_path
+from . import BASE, ORACLE, WEATHER_SOURCE, features_ctes, register, with_ctes
+from .model import LDAILY, SPLIT_SQL, _naive_pred_rows, dense_daily
 
 FEATS = feature_names()
 
@@ -151,3 +153,61 @@ def unit_root(spark, sf_dir):
     d = dense_daily(spark, sf_dir)
     level, change = U.unit_root(d), U.unit_root(U.rolling_change(d))
     return level.select(F.lit("LEVEL").alias("SERIES"), "*").unionByName(change.select(F.lit("CHANGE").alias("SERIES"), "*"))
+
+
+# ------------------------------------------------------------ I1: one table function, two schemas
+
+def _profile_sql(table: str, key: str, order: str, values: list[str]) -> str:
+    cols = ", ".join(f"arg_min({c}, {order}) AS FIRST_{c}, arg_max({c}, {order}) AS LAST_{c}, max(abs({c} - P_{c})) AS STEP_{c}" for c in values)
+    lags = ", ".join(f"lag({c}) OVER (PARTITION BY {key} ORDER BY {order}) AS P_{c}" for c in values)
+    return f"SELECT {key}, count(*) AS N, min({order}) AS FIRST_{order}, max({order}) AS LAST_{order}, {cols} FROM (SELECT *, {lags} FROM {table}) GROUP BY {key}"
+
+
+@register("profile_daily", with_ctes(LDAILY, 'd AS (SELECT STATION_ID, DATE, CAST("COUNT" AS DOUBLE) AS "COUNT" FROM ldaily)')
+          + _profile_sql("d", "STATION_ID", "DATE", ["COUNT"]))
+def profile_daily(spark, sf_dir):
+    return PM.series_profile(dense_daily(spark, sf_dir), "STATION_ID", "DATE")
+
+
+@register("profile_weather", with_ctes(WEATHER_SOURCE, """w AS (SELECT POSTAL_CODE, DATE_VALID_STD,
+    CAST(TOT_PRECIPITATION_MM AS DOUBLE) AS TOT_PRECIPITATION_MM, CAST(AVG_TEMPERATURE_FEELSLIKE_2M_C AS DOUBLE) AS AVG_TEMPERATURE_FEELSLIKE_2M_C
+  FROM weather_source)""") + "SELECT * REPLACE (round(STEP_TOT_PRECIPITATION_MM, 6) AS STEP_TOT_PRECIPITATION_MM, "
+          "round(STEP_AVG_TEMPERATURE_FEELSLIKE_2M_C, 6) AS STEP_AVG_TEMPERATURE_FEELSLIKE_2M_C) FROM ("
+          + _profile_sql("w", "POSTAL_CODE", "DATE_VALID_STD", ["TOT_PRECIPITATION_MM", "AVG_TEMPERATURE_FEELSLIKE_2M_C"]) + ")")
+def profile_weather(spark, sf_dir):
+    out = PM.series_profile(fx.weather_source(spark, sf_dir), "POSTAL_CODE", "DATE_VALID_STD")
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c.startswith("STEP_")})
+
+
+# ------------------------------------------------------------ G16, G17, H17: documents as VARIANT
+
+def _variant_table(spark, sf_dir):
+    """The PRED documents of the seasonal-naive rows, stored as VARIANT."""
+    rows = _naive_pred_rows(spark, sf_dir)
+    split = H.time_split(rows)
+    packed = D.pack_variant(split.where("NOT IS_VALID").drop("IS_VALID"), split.where("IS_VALID").drop("IS_VALID"))
+    path = scratch_path(spark, "variant")
+    packed.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("flatten_variant", ORACLE["flatten_predictions"])
+def flatten_variant(spark, sf_dir):
+    """H17 by VARIANT: the rows of ``flatten_predictions``."""
+    pred = _variant_table(spark, sf_dir)
+    return D.flatten_variant(pred, 0).unionByName(D.flatten_variant(pred, 1))
+
+
+@register("document_fields", with_ctes(BASE[0], """kinds AS (
+  SELECT o_orderstatus AS STATION_ID, 'key' AS FIELD, 'BIGINT' AS KIND, count(*) AS N_DOCS FROM orders GROUP BY 1
+  UNION ALL SELECT o_orderstatus, 'clerk', 'STRING', count(*) FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1
+  UNION ALL SELECT o_orderstatus, 'clerk', 'OBJECT<no: BIGINT>', count(*) FROM orders WHERE o_orderkey % 3 = 1 GROUP BY 1)""")
+          + "SELECT * FROM kinds")
+def document_fields(spark, sf_dir):
+    """Documents of an open schema; what fields they have, and of which kind."""
+    o = fx.load(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    extra = F.when(key % 3 == 0, F.concat(F.lit(', "clerk": "'), key, F.lit('"'))).when(
+        key % 3 == 1, F.concat(F.lit(', "clerk": {"no": '), key, F.lit("}"))).otherwise("")
+    docs = o.select(F.col("o_orderstatus").alias("STATION_ID"), F.parse_json(F.concat(F.lit('{"key": '), key, extra, F.lit("}"))).alias("DOC"))
+    return D.fields_of(docs)
