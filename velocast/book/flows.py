@@ -26,9 +26,9 @@ from ..sources import catalog as A
 from ..sources import files as AF
 from ..sources import ledger as L
 from ..streaming import changes as J
-from . import BASE, TRIPS, features_ctes, register, with_ctes
+from . import BASE, ORACLE, TRIPS, features_ctes, register, with_ctes
 from .basic import DAILY, EXPLAINED, PREDS, RAW1, RAW2
-from .model import _eval_sql
+from .model import _eval_sql, run_eval_sql
 
 CONF = ", ".join(K.CONFORMED_COLUMNS)
 RAW1_COLS = ", ".join(K.SCHEMA1.fieldNames())
@@ -387,7 +387,7 @@ def _run_config(spark, tag):
     return RunConfig(database=_name(f"velocast_{tag}"), postcode=fx.FIXTURE_POSTCODE)
 
 
-@register("setup_run")
+@register("setup_run", ORACLE["flat_forecast"])
 def setup_run(spark, sf_dir):
     """K4 end to end on the landed fixture files; returns flat_FORECAST."""
     _, landed = _landed(spark, sf_dir)
@@ -400,7 +400,8 @@ def setup_run(spark, sf_dir):
     return spark.table(f"{cfg.database}.{out['flat_forecast']}")
 
 
-@register("monthly_run")
+@register("monthly_run", run_eval_sql("1998-02-01", "o_orderdate < TIMESTAMP '1998-01-01'", 365) + "\nUNION ALL "
+          + run_eval_sql("2001-09-01", "true", 365))
 def monthly_run(spark, sf_dir):
     """K4 on schema1 files, then K5 with the schema2 files; returns flat_EVAL (two run dates)."""
     landing, landed = _landed(spark, sf_dir)

@@ -217,6 +217,43 @@ _FEATURE_COLS = f"STATION_ID, DATE, \"COUNT\", {', '.join(FEATS)}"
 _COEF_COLS = ["INTERCEPT", *[f"{x}_{c}" for c in FEATS for x in ("B", "MEAN", "SD")]]
 
 
+LAGS = [int(c[4:]) for c in FEATS if c.startswith("LAG_")]
+
+
+def _forecast_ctes(steps: int = 30) -> list[str]:
+    """Day by day from the last feature row: lags from the counts so far, the prediction appended."""
+    lag = {f"LAG_{k}": f"ARR[-{k}]" for k in LAGS}
+    total = " + ".join(f"B_{c} * {lag.get(c, f'CAST(w.{c} AS DOUBLE)' if c != 'HOLIDAY' else 'HOLIDAY_')}" for c in FEATS)
+    parts = [f"abs(B_{c} * (CAST({c} AS DOUBLE) - MEAN_{c}))" for c in FEATS]
+    share = lambda p: f"CAST(round(CASE WHEN {' + '.join(parts)} > 0 THEN {p} / ({' + '.join(parts)}) ELSE 0 END, 2) AS DECIMAL(10,2))"
+    return [f"""fc AS (
+  SELECT STATION_ID, 0 AS H, max(DATE) AS DATE, list(CAST("COUNT" AS DOUBLE) ORDER BY DATE) AS ARR,
+         {', '.join(f'CAST(NULL AS DOUBLE) AS {c}' for c in [*FEATS, 'PRED'])} FROM features GROUP BY STATION_ID
+  UNION ALL
+  SELECT STATION_ID, H + 1, D, list_append(ARR, P), {', '.join(lag.values())}, HOLIDAY_, PRECIP_, TEMP_, P FROM (
+    SELECT f.STATION_ID, f.H, f.ARR, f.D, HOLIDAY_, CAST(w.PRECIP AS DOUBLE) AS PRECIP_, CAST(w.TEMP AS DOUBLE) AS TEMP_,
+           round_even(INTERCEPT + {total}, 0) AS P
+    FROM (SELECT x.*, x.DATE + 1 AS D FROM fc x WHERE H < {steps + 1}) f JOIN coefs c ON f.STATION_ID = c.STATION_ID
+    LEFT JOIN (SELECT w.*, CAST(coalesce(h.HOLIDAY, 0) AS DOUBLE) AS HOLIDAY_ FROM weather w LEFT JOIN holidays h ON w.DATE = h.DATE) w ON w.DATE = f.D))""",
+            f"""flat AS (SELECT f.STATION_ID, DATE, CAST(PRED AS BIGINT) AS "COUNT", {', '.join(f'CAST(LAG_{k} AS BIGINT) AS LAG_{k}' for k in LAGS)},
+  CAST(HOLIDAY AS INTEGER) AS HOLIDAY, CAST(PRECIP AS DECIMAL(10,2)) AS PRECIP, CAST(TEMP AS DECIMAL(10,2)) AS TEMP, CAST(PRED AS DECIMAL(10,2)) AS PRED,
+  {', '.join(f'{share(p)} AS EXPL_{c}' for c, p in zip(FEATS, parts))}
+  FROM fc f JOIN coefs c ON f.STATION_ID = c.STATION_ID WHERE H > 0)"""]
+
+
+def _with_forecast(sql: str) -> str:
+    return "WITH RECURSIVE" + with_ctes(*BASE, *features_ctes(), SPLIT_SQL, *_coefs_ctes(), *_forecast_ctes())[4:] + sql
+
+
+def run_eval_sql(run_date: str, where: str, min_days: int) -> str:
+    """flat_EVAL of one run over the orders ``where``: fit, predict, score."""
+    trips = BASE[0][:-1] + f" WHERE {where})"
+    flat = 'flat AS (SELECT STATION_ID, CAST("COUNT" AS DOUBLE) AS Y, CAST(CAST(PRED AS DECIMAL(10,2)) AS DOUBLE) AS P FROM hist)'
+    ctes = with_ctes(trips, *BASE[1:], *features_ctes(min_days=min_days), SPLIT_SQL, *_coefs_ctes(), flat)[4:]
+    return f"""SELECT DATE '{run_date}' AS RUN_DATE, STATION_ID, {', '.join(f'CAST({m} AS DECIMAL(10,2)) AS {m}' for m in EV.METRICS[:-1])}
+FROM (WITH RECURSIVE{ctes}{_eval_sql("flat", "Y", "P")})"""
+
+
 @register("train_per_station", _with_coefs(f"SELECT STATION_ID, N_TRAIN, {', '.join(f'round({c}, 6) AS {c}' for c in _COEF_COLS)} FROM coefs"))
 def train_per_station(spark, sf_dir):
     t = M.train_per_station(_features(spark, sf_dir))
@@ -229,7 +266,8 @@ def predict_history(spark, sf_dir):
     return M.predict_history(f, M.train_per_station(f)).withColumn("PRED", F.round("PRED", 6))
 
 
-@register("forecast_recursive")
+@register("forecast_recursive", _with_forecast(f"""SELECT STATION_ID, DATE, CAST(PRED AS BIGINT) AS "COUNT",
+  {', '.join(f'CAST(LAG_{k} AS BIGINT) AS LAG_{k}' for k in LAGS)}, CAST(HOLIDAY AS INTEGER) AS HOLIDAY, PRECIP, TEMP, PRED FROM fc WHERE H > 0"""))
 def forecast_recursive(spark, sf_dir):
     f = _features(spark, sf_dir)
     return M.forecast_recursive(f, M.train_per_station(f), _calendar(spark, sf_dir))
@@ -324,7 +362,7 @@ def flatten_eval(spark, sf_dir):
     return EV.flatten_eval(EV.pack_eval(scores, "2001_09_01"))
 
 
-@register("flat_forecast")
+@register("flat_forecast", _with_forecast("SELECT * FROM flat"))
 def flat_forecast(spark, sf_dir):
     """The model path to flat_FORECAST: train, forecast, explain, flatten.  Only where PRED is
     written are the rows packed."""
