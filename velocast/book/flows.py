@@ -236,7 +236,7 @@ def snapshot_table(spark, sf_dir):
     return spark.table(snap)
 
 
-@register("tag_lineage")
+@register("tag_lineage", "SELECT 'model_id' AS key, 'model_2001_09_01' AS value")
 def tag_lineage(spark, sf_dir):
     name = _name("features")
     A.write_overwrite(R.daily_counts(fx.trips(spark, sf_dir)), name, scratch_path(spark, "tables", name))

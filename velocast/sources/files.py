@@ -2,14 +2,15 @@
 
 CSV is read by Spark's own reader (splittable when uncompressed, one task
 per gzip file otherwise).  Zip archives are not splittable and Spark has no
-zip codec, so each archive is one ``binaryFile`` row that a small
-``mapInPandas`` helper expands into CSV lines; parsing stays in ``from_csv``.
+zip codec, so the archives' members are listed as a table and a small
+``mapInPandas`` helper turns each member into CSV lines; parsing stays in ``from_csv``.
 """
 
 from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SCHEMA2_FIRST_MONTH
+from ..session import cut_lineage
 
 
 # The two null tokens of the trip files.
@@ -81,49 +83,79 @@ def _open_uri(uri: str):
     return filesystem.open_input_file(unquote(path))
 
 
-def _unzip_lines(batches):
-    """mapInPandas helper: first member of each archive -> (PATH, LINE_NO, LINE).
+def _archive_members(batches):
+    """mapInPandas helper: the central directory of each archive, a row per CSV member.
 
-    The archive is opened from its path and read through a seekable stream,
-    so only the zip directory and the current block are in memory, whatever
-    the archive's size; lines leave in batches of 50,000.
+    Only the end of the archive is read.  An archive that is cut off has no
+    directory and is refused.
     """
     for pdf in batches:
         out = []
         for path in pdf["path"]:
-            with _open_uri(path) as raw, zipfile.ZipFile(raw) as zf:
-                for member in zf.namelist():
-                    if member.endswith("/") or member.startswith("__MACOSX/"):
-                        continue
-                    with zf.open(member) as fh:
-                        text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
-                        for i, line in enumerate(text):
-                            line = line.rstrip("\r\n")
-                            if not line:        # as the CSV reader does
-                                continue
-                            out.append((path, i, line))
-                            if len(out) >= 50_000:
-                                yield pd.DataFrame(out, columns=["PATH", "LINE_NO", "LINE"])
-                                out = []
-        if out:
-            yield pd.DataFrame(out, columns=["PATH", "LINE_NO", "LINE"])
+            with _open_uri(path) as raw:
+                try:
+                    with zipfile.ZipFile(raw) as zf:
+                        out += [(path, n, m.filename, m.header_offset, m.compress_size, m.file_size)
+                                for n, m in enumerate(zf.infolist()) if not m.is_dir() and not m.filename.startswith("__MACOSX/")]
+                except zipfile.BadZipFile as e:
+                    raise ValueError(f"{path}: {e}") from e
+        yield pd.DataFrame(out, columns=["PATH", "N", "MEMBER", "OFFSET", "COMPRESSED", "LENGTH"])
+
+
+def _member_lines(batches):
+    """mapInPandas helper: (PATH, MEMBER, LINE_NO, LINE) of one member a row.
+
+    A member is read through a seekable stream from its own offset on, so only
+    the zip directory and the current block are in memory; lines leave in
+    batches of 50,000.  A damaged member fails its checksum; bytes that are not
+    UTF-8 are reported with their line.
+    """
+    cols = ["PATH", "MEMBER", "LINE_NO", "LINE"]
+    for pdf in batches:
+        for path, member in zip(pdf["PATH"], pdf["MEMBER"]):
+            out, i = [], -1
+            try:
+                with _open_uri(path) as raw, zipfile.ZipFile(raw) as zf, zf.open(member) as fh:
+                    for i, line in enumerate(io.TextIOWrapper(fh, encoding="utf-8", newline="")):
+                        line = line.rstrip("\r\n")
+                        if not line:        # as the CSV reader does
+                            continue
+                        out.append((path, member, i, line))
+                        if len(out) >= 50_000:
+                            yield pd.DataFrame(out, columns=cols)
+                            out = []
+            except (zipfile.BadZipFile, EOFError, zlib.error, UnicodeDecodeError) as e:
+                raise ValueError(f"{path}, member {member}, after line {i + 1}: {e}") from e
+            if out:
+                yield pd.DataFrame(out, columns=cols)
+
+
+def archive_members(spark: SparkSession, paths: list[str] | str, glob: str = "*.zip") -> DataFrame:
+    """A4's index: PATH, N, MEMBER, OFFSET, COMPRESSED and LENGTH of every CSV member of the archives."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths).select("path")
+    return listing.repartition(max(1, listing.count()), "path").mapInPandas(
+        _archive_members, "PATH string, N int, MEMBER string, OFFSET long, COMPRESSED long, LENGTH long")
+
+
+def archive_lines(spark: SparkSession, paths: list[str] | str, glob: str = "*.zip", first_only: bool = False) -> DataFrame:
+    """A4: (PATH, MEMBER, LINE_NO, LINE) of the members, each member a task of its own."""
+    members = cut_lineage(archive_members(spark, paths, glob))
+    if first_only:
+        members = members.where("N = 0")
+    n = max(1, members.count())            # a row per member
+    return members.repartition(n, "PATH", "N").mapInPandas(_member_lines, "PATH string, MEMBER string, LINE_NO long, LINE string")
 
 
 def unpack_zip_csv(spark: SparkSession, paths: list[str] | str, schema: T.StructType,
-                   glob: str = "*.zip") -> DataFrame:
-    """A4: read every CSV member of each zip archive with ``schema``.
-
-    Only the archive listing is read by Spark (the content column is pruned);
-    the listing is spread one archive per task (an explicit partition count,
-    which AQE keeps), and each task streams its archive's lines in bounded
-    batches.  The header line of each member is dropped, empty lines are skipped; fields are parsed
-    JVM-side by ``from_csv``.
+                   glob: str = "*.zip", first_only: bool = False) -> DataFrame:
+    """A4: read every CSV member of each zip archive (or its first) with ``schema``.
+
+    The archives' directories are read as a table of members, and each member
+    is a task (an explicit partition count, which AQE keeps), so one archive of
+    many members is not one task.  The header line of each member is dropped,
+    empty lines are skipped; fields are parsed JVM-side by ``from_csv``.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
-               .select("path"))
-    n = max(1, listing.count())            # number of archives (file-system metadata)
-    lines = listing.repartition(n, "path").mapInPandas(
-        _unzip_lines, "PATH string, LINE_NO long, LINE string")
+    lines = archive_lines(spark, paths, glob, first_only)
     ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
     parsed = (lines.filter(F.col("LINE_NO") > 0)
               .select(F.from_csv("LINE", ddl, {"quote": '"', "escape": '"', "nullValue": "NULL"}).alias("R"))
@@ -135,8 +167,7 @@ def zip_records(spark: SparkSession, paths: list[str], schema: T.StructType, rej
     """A4 with every record accounted for: the columns of ``schema``, ``rejected`` (the line, where
     its number of fields is not the schema's) and ``file``, the archive."""
     listing = spark.read.format("binaryFile").load(paths).select("path", F.col("_metadata.file_path").alias(file))
-    n = max(1, listing.count())
-    lines = listing.select("path").repartition(n, "path").mapInPandas(_unzip_lines, "PATH string, LINE_NO long, LINE string")
+    lines = archive_lines(spark, paths, "*")
     ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields) + f", `{rejected}` STRING"
     options = {"quote": '"', "escape": '"', "nullValue": "NULL", "columnNameOfCorruptRecord": rejected}
     parsed = lines.filter(F.col("LINE_NO") > 0).select("PATH", F.from_csv("LINE", ddl, options).alias("R"))
