@@ -28,7 +28,7 @@ from velocast.session import scratch_path
 MAGIC = 0x184D2A5D  # fixed value: the skippable frame of a dictionary
 FRAME = 0xFD2FB528  # fixed value: a Zstandard frame
 SMALL = 100
-SAMPLE_PAGES, DICT_BYTES = 500, 64 << 10  # the dictionary is fitted on a bounded sample of rows
+SAMPLE_PAGES, SAMPLE_BYTES, DICT_BYTES = 500, 16 << 10, 64 << 10  # the dictionary is fitted on a bounded sample of rows
 
 
 def record(kind: str, record_id: str, uri: str, digest: str, payload: bytes, refers: str = "") -> bytes:
@@ -167,7 +167,9 @@ def archive(pages: DataFrame, id_col: str = "page_id", html: str = "html", url:
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     # only payloads that repeat meet the join
     least = rows.where(F.octet_length("html") >= SMALL).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    sample = [r["html"].encode()[: 16 << 10] for r in rows.select("html").limit(SAMPLE_PAGES).collect()]
+    # cut where the rows are: the driver gets SAMPLE_PAGES times SAMPLE_BYTES at most
+    head = F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES)
+    sample = [bytes(r["head"]) for r in rows.select(head.alias("head")).limit(SAMPLE_PAGES).collect()]
     try:
         dictionary = zstandard.train_dictionary(DICT_BYTES, sample).as_bytes()
     except zstandard.ZstdError:  # too few rows to fit one
