@@ -471,3 +471,50 @@ def test_numerals_are_no_letters(spark):
     assert pred[1] == pred[5] == "und"
     kept = {r.doc_id: r.lang for r in langid.reject(df).collect()}
     assert set(kept) == {2, 3, 4} and kept[4] is not None  # a kept row without a language gets the predicted one
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 700, 5000])
+def test_spans_of_texts_with_very_many(spark, n):
+    """Offsets, values, contexts and masks of up to 5,000 spans in one text, beyond ASCII too."""
+    text = "é😀 ".join(f"10.0.{i % 256}.{i // 256}" for i in range(n)) + " mail ä.b+c@x.de"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = pii.report(df).collect()[0]
+    want = [("email", text.index("b+c@") - 1, len(text))] + [("ip", m.start(), m.end()) for m in re.finditer(r"10\.0\.\d+\.\d+", text)]
+    want[0] = ("email", text.index(".b+c@"), len(text))
+    assert (row.n_email, row.n_ip) == (1, n)
+    assert row.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+    found = pii.find(df).collect()[0].base_spans
+    assert all(x.value == text[x.start:x.end] for x in found)
+    masked = pii.mask(df).collect()[0].text
+    assert masked == re.sub(r"10\.0\.\d+\.\d+", "<ip>", text[:want[0][1]]) + "<email>"
+
+
+def test_a_mark_covers_what_begins_inside_it(spark):
+    """Overlapping spans of several kinds: one mark, and the text after the last end stays."""
+    text = "call +1 202 555 0173 1.2.3.4 or a@b.co, card 4111 1111 1111 1111."
+    df = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "nothing 12")], "doc_id long, text string")
+    spans = sorted((x.start, x.end, x.kind) for x in pii.find(df.where("doc_id = 1")).collect()[0].spans)
+    out, at = "", 0
+    for a, b, k in spans:
+        if a >= at:
+            out += text[at:a] + f"<{k}>"
+        at = max(at, b)
+    got = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    assert got == {1: out + text[at:], 2: None, 3: "", 4: "nothing 12"} and "4111" not in out
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+    for page in ("<b>x" * 50_000, "<b>" * 3000 + "<td></td>" * 20_000, "<!" * 100_000, "<a \"" * 50_000, "<a =\"" * 50_000, "</b>" * 100_000,
+                 "<div>" * 50_000, "<script></script" * 30_000, "<p>x<b>" * 30_000):
+        t = time.perf_counter()
+        html.main_text(page, frozenset())
+        assert time.perf_counter() - t < 8
+
+
+def test_pages_odd_rows(spark):
+    rows = [(1, "http://h/1", "<article>one<br>two <b>bold</b></article>"), (2, None, None), (3, "http://h/3", ""), (3, "http://h/3", "<a title='>'>x</a><p>a<p>b")]
+    df = spark.createDataFrame([(*r, "t", 7) for r in rows], "page_id long, url string, html string, tokens string, page int")
+    got = sorted((r.page_id, r.text, r.n_chars) for r in html.extract(df).collect())
+    assert got == [(1, "one two bold", 12), (2, "", 0), (3, "", 0), (3, "x\n\na\n\nb", 7)]
+    assert html.extract(df.limit(0)).count() == 0

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velocast.llm.shared import fresh, keep
-from velocast.llm.spans import SPAN, digest, digits, luhn, matches
+from velocast.llm.spans import SPAN, chunks, cut, digest, digits, let, luhn, matches, with_sums
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++\.[A-Za-z0-9.-]++"
@@ -111,12 +111,13 @@ def em(patterns: dict[tuple, int], rounds: int = 50) -> tuple[dict[tuple, float]
 
 def _candidates(text: Column, base_spans: Column, more: Column) -> Column:
     """Base and looser spans with the text beside them."""
-    told = lambda arr, is_base: F.transform(arr, lambda x: F.struct(
-        x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"),
-        F.lit(is_base).alias("is_base"),
-        F.substring(text, F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1, F.least(x["start"], F.lit(CONTEXT))).alias("left"),
-        F.substring(text, x["end"] + 1, F.lit(1)).alias("right")))
-    return F.concat(told(base_spans, True), told(more, False))
+    def told(arr: Column, is_base: bool, parts: Column) -> Column:
+        return F.transform(arr, lambda x: F.struct(
+            x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"),
+            F.lit(is_base).alias("is_base"), cut(parts, F.greatest(x["start"] - CONTEXT, F.lit(0)), x["start"]).alias("left"),
+            cut(parts, x["end"], x["end"] + 1).alias("right")))
+
+    return let(chunks(text), lambda p: F.concat(told(base_spans, True, p), told(more, False, p)))
 
 
 def train(cands: DataFrame):
@@ -200,8 +201,14 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     d = find(docs, text)
     t = F.col(f"`{text}`")
     order = F.array_sort(F.transform(F.col(s), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda a, x: F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.when(x["start"] < a["at"], a["out"]).otherwise(
-        F.concat(a["out"], F.substring(t, a["at"] + 1, x["start"] - a["at"]), F.lit("<"), x["kind"], F.lit(">"))).alias("out"))
-    new = F.aggregate(order, start, step, lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
+    # a span that begins before the end of an earlier one is covered by that one's mark
+    ends = with_sums(order, lambda x: x["end"], lambda a, x: F.greatest(a, x))
+
+    def joined(q: Column) -> Column:
+        apart = F.filter(q["ends"], lambda y: y["x"]["start"] >= y["before"])
+        marks = F.transform(apart, lambda y: F.concat(cut(q["parts"], y["before"], y["x"]["start"]), F.lit("<"), y["x"]["kind"], F.lit(">")))
+        last = F.aggregate(q["ends"], F.lit(0), lambda m, y: F.greatest(m, y["x"]["end"]))
+        return F.concat(F.array_join(marks, ""), let(F.struct(q["parts"].alias("parts"), last.alias("last"), q["n"].alias("n")), lambda z: cut(z["parts"], z["last"], z["n"])))
+
+    new = let(F.struct(ends.alias("ends"), chunks(t).alias("parts"), F.length(t).alias("n")), joined)
     return d.withColumn(text, F.when(t.isNull() | (F.size(s) == 0), t).otherwise(new)).select(*[F.col(f"`{c}`") for c in docs.columns])
