@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from velocast.llm import decontam, html, langid, licenses, mixing, neardup, pii, secrets, simhash, warc
@@ -518,3 +519,27 @@ def test_pages_odd_rows(spark):
     got = sorted((r.page_id, r.text, r.n_chars) for r in html.extract(df).collect())
     assert got == [(1, "one two bold", 12), (2, "", 0), (3, "", 0), (3, "x\n\na\n\nb", 7)]
     assert html.extract(df.limit(0)).count() == 0
+
+
+def test_copied_examples_are_not_live(spark):
+    """Values that more than two owners hold are examples: not live, and no span of their own."""
+    shared, own, pair = "AbCdEf0123456789GhIjKlMnOp", "Zz9Yy8Xx7Ww6Vv5Uu4Tt3Ss2", "Qq1Ww2Ee3Rr4Tt5Yy6Uu7Ii8"
+    rows = [(i, f"see {shared} here", f"owner{i % 4}") for i in range(12)] + [(20, f"my {own} key", "solo"), (21, f"my {own} key", "solo")]
+    rows += [(30 + i, f"kept {pair}", f"pair{i % 2}") for i in range(6)] + [(40, f'password = "{shared}"', "owner9"), (41, f'password = "{own}x1"', None)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, source string, spans string, hash int")
+    got = {r.doc_id: r for r in secrets.report(df).collect()}
+    assert all(got[i].n_live == 0 and got[i].spans == "" for i in range(12))
+    assert all(got[i].n_live == 1 and got[i].spans == f"token:3:{3 + len(own)}" for i in (20, 21))
+    assert all(got[30 + i].n_live == 1 for i in range(6))
+    # a base span stays, live or not
+    assert got[40].n_assign == 1 and got[40].n_live == 0 and got[40].spans.startswith("assign:")
+    assert got[41].n_assign == 1 and got[41].n_live == 1
+
+
+def test_license_ranks_and_odd_rows(spark):
+    block, _ = licenses.TEMPLATES["MIT"]
+    df = spark.createDataFrame([(1, block), (1, block), (2, block + "\nmore"), (None, None), (4, "")], "doc_id long, text string").withColumns({"licenses": F.lit("x"), "id": F.lit(1)})
+    got = sorted(((r.doc_id or 0, r.licenses) for r in licenses.scan(df).collect()))
+    assert got == [(0, ""), (1, "MIT"), (1, "MIT"), (2, "MIT"), (4, "")]
+    assert licenses.rank(block)[0][1] == "MIT" and [x[0] for x in licenses.rank(block)] == sorted((x[0] for x in licenses.rank(block)), reverse=True)
+    assert licenses.scan(df.limit(0)).count() == 0
