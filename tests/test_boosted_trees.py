@@ -158,3 +158,32 @@ def test_odd_input(feats):
     assert B.train_trees(feats.limit(0), LAGS, 60, P).count() == 0
     alone = B.train_trees(feats.where("STATION_ID = 'B'"), LAGS, 0, B.Boost(trees=2, patience=1)).collect()[0]
     assert alone.BEST == 2 and alone.VALID_MSE == [None] * 3 and alone.N_TRAIN == 260    # nothing held out: every tree stays
+
+
+def test_a_run_with_trees(spark):
+    """The model steps of a run with either learner write the same tables."""
+    import uuid
+
+    from velocast import fixtures as fx
+    from velocast.config import RunConfig
+    from velocast.plans import runs as KR
+    from velocast.sources import catalog as A
+
+    from conftest import SF01
+
+    db = "trees_" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE {db}")
+    spark.catalog.setCurrentDatabase(db)
+    try:
+        cfg = RunConfig(database=db, postcode=fx.FIXTURE_POSTCODE, learner="trees", extra={"trees": B.Boost(trees=2, patience=2, rate=0.5)})
+        A.write_overwrite(fx.trips(spark, SF01), cfg.trips)
+        out = KR.model_steps(spark, cfg, fx.weather_source(spark, SF01), "2001_09_01")
+        model = spark.table(cfg.coefficients).collect()
+        flat = spark.table(out["flat_forecast"]).collect()
+        assert len(flat) == 62 and all(r.PRED is not None for r in flat) and {r.STATION_ID for r in flat} == {r.STATION_ID for r in model}
+        assert all(len(r.TREES) == r.BEST and len(r.VALID_MSE) >= 2 for r in model)
+        assert spark.table(out["flat_eval"]).count() == 2 and spark.table(out["flat_pred"]).count() == 2739
+        with pytest.raises(ValueError):
+            KR.fit_and_explain(spark, RunConfig(learner="net"), None, None)
+    finally:
+        spark.catalog.setCurrentDatabase("default")

@@ -133,6 +133,13 @@ def test_evaluate_matches_numpy(spark):
     assert abs(r["pearson_correlation"] - np.corrcoef(y, p)[0, 1]) < 1e-9
 
 
+def test_constant_predictions_are_scored(spark):
+    df = spark.createDataFrame([("S", 1.0, 2.0), ("S", 3.0, 2.0), ("T", 2.0, 1.0), ("T", 2.0, 3.0)], "STATION_ID string, COUNT double, PRED double")
+    r = {x["STATION_ID"]: x for x in EV.evaluate_models(df).collect()}
+    assert r["S"]["mse"] == 1 and r["S"]["r_squared"] == 0 and r["S"]["pearson_correlation"] is None
+    assert r["T"]["r_squared"] is None and r["T"]["pearson_correlation"] is None
+
+
 def test_tied_explainers_first_wins(spark):
     df = spark.createDataFrame([(0.3, 0.3, 0.1)], "A double, B double, C double")
     r = explain_reason(df, ["A", "B", "C"]).collect()[0]

@@ -41,6 +41,7 @@ class RunConfig:
     steps: int = FORECAST_STEPS
     cutpoint: int = CUTPOINT
     alpha: float = 1.0
+    learner: str = "ridge"      # or "trees"
     postcode: str = WEATHER_POSTCODE
     model_id: str | None = None
     extra: dict = field(default_factory=dict)

@@ -32,11 +32,13 @@ def evaluate_models(df: DataFrame, y_true: str = COUNT, y_score: str = "PRED",
         F.var_pop(y).alias("_var"),
         (F.lit(100.0) * F.avg(F.when(F.abs(y) + F.abs(p) > 0, 2 * F.abs(e) / (F.abs(y) + F.abs(p)))
                               .otherwise(F.lit(0.0)))).alias("smape"),
-        F.corr(y, p).alias("pearson_correlation"))
+        F.var_pop(p).alias("_pvar"), F.covar_pop(y, p).alias("_cov"))
     out = agg.select(
         key, "mae", "mape", "mse",
         F.when(F.col("_var") > 0, F.lit(1.0) - F.col("mse") / F.col("_var")).alias("r_squared"),
-        F.sqrt("mse").alias("rmse"), "smape", "pearson_correlation")
+        F.sqrt("mse").alias("rmse"), "smape",
+        # null where one side is constant (corr itself divides by zero there)
+        F.when((F.col("_var") > 0) & (F.col("_pvar") > 0), F.col("_cov") / F.sqrt("_var") / F.sqrt("_pvar")).alias("pearson_correlation"))
     if digits is not None:
         out = out.select(key, *[F.round(m, digits).alias(m) for m in METRICS])
     return out

@@ -14,15 +14,34 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..functions.calendar import holidays_for_range
+from ..operators import boost as B
 from ..operators import evaluate as EV
 from ..operators import features as H
 from ..operators import model as M
 from ..operators import relational as R
+from ..session import cut_lineage
 from ..sources import catalog as A
 from ..streaming import changes as J
 from . import ingest as K
 
 
+def fit_and_explain(spark: SparkSession, cfg: RunConfig, features: DataFrame, calendar: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """H10-H13 with the run's learner: the models become a table; explained history and forecast."""
+    if cfg.learner == "ridge":
+        A.write_overwrite(M.train_per_station(features, cfg.lags, cfg.cutpoint, cfg.alpha), cfg.coefficients)
+        model = spark.table(cfg.coefficients)
+        past, future = M.predict_history(features, model, cfg.lags), M.forecast_recursive(features, model, calendar, cfg.lags, cfg.steps)
+        return M.explain_rows(past, model, cfg.lags), M.explain_rows(future, model, cfg.lags)
+    if cfg.learner != "trees":
+        raise ValueError("learner must be ridge or trees")
+    p = cfg.extra.get("trees", B.Boost())
+    A.write_overwrite(B.train_trees(features, cfg.lags, cfg.cutpoint, p), cfg.coefficients)
+    model = spark.table(cfg.coefficients)
+    past = B.predict_trees(features, model, cfg.lags, p)
+    future = cut_lineage(B.forecast_trees(features, model, calendar, cfg.lags, cfg.steps, p))
+    return B.explain_trees(past, model, cfg.lags, p), B.explain_trees(future, model, cfg.lags, p)
+
+
 def model_steps(spark: SparkSession, cfg: RunConfig, weather_source: DataFrame, run_date: str) -> dict:
     """Holidays -> weather -> features -> forecast -> train -> predict/explain ->
     evaluate -> flatten, every table tagged with the run's model_id."""
@@ -49,10 +68,7 @@ def model_steps(spark: SparkSession, cfg: RunConfig, weather_source: DataFrame,
                       cfg.forecast)
     features, calendar = spark.table(cfg.features), spark.table(cfg.forecast)
 
-    A.write_overwrite(M.train_per_station(features, cfg.lags, cfg.cutpoint, cfg.alpha), cfg.coefficients)
-    coefs = spark.table(cfg.coefficients)
-    hist = M.explain_rows(M.predict_history(features, coefs, cfg.lags), coefs, cfg.lags)
-    fut = M.explain_rows(M.forecast_recursive(features, coefs, calendar, cfg.lags, cfg.steps), coefs, cfg.lags)
+    hist, fut = fit_and_explain(spark, cfg, features, calendar)
     A.write_overwrite(EV.pack_predictions(hist, fut, cfg.lags), cfg.pred)
     pred = spark.table(cfg.pred)
 
