@@ -6,8 +6,8 @@ Scale notes
   partition holds at most one row per calendar day no matter how many trips a
   hot station has.
 * Calendar-sized dimensions (holidays, weather, forecast days) are joined on
-  DATE with a size-checked broadcast; beyond the bound the join falls back to
-  a shuffle join.
+  DATE without a hint: Spark broadcasts them if they are small by bytes, and
+  joins by shuffle if not.
 """
 
 from __future__ import annotations
