@@ -416,6 +416,25 @@ def test_fit_is_the_best_sum():
     assert mixing.fit(lens, ns, 9_500_000) in ([3, 0], [1, 1])
 
 
+def test_fit_of_few_large_documents():
+    """Budgets beyond the bitset program: the best sum of all that the documents can make."""
+    for lens, ns, budget, want in (([3_000_001, 2_500_003, 1_700_009], [5] * 3, 12_100_000, 12_000_004),
+                                   ([900_001, 700_003, 500_009, 300_007], [9] * 4, 9_654_321, 9_600_140)):
+        k = mixing.fit(lens, ns, budget)
+        assert all(0 <= a <= b for a, b in zip(k, ns)) and sum(a * b for a, b in zip(k, lens)) == want
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        lens = sorted(set(rng.integers(2_000_000, 9_000_000, 4).tolist()))
+        ns = rng.integers(1, 5, len(lens)).tolist()
+        made = {0}
+        for n, c in zip(lens, ns):
+            made = {w + k * n for w in made for k in range(c + 1)}
+        budget = int(rng.integers(1, max(made)))
+        k = mixing.fit(lens, ns, budget)
+        assert all(0 <= a <= b for a, b in zip(k, ns)) and sum(a * b for a, b in zip(k, lens)) == max(w for w in made if w <= budget)
+    assert mixing.sparse_sum([1 << 20, 3], [1 << 30, 1 << 30], 1 << 50) is None
+
+
 def test_mixing_odd_rows(spark):
     rows = [(1, None, "a"), (2, "", None), (3, "x y", "a"), (3, "x y", "a"), (None, "z " * 30000, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 size", "2 target", "3 id")

@@ -66,13 +66,50 @@ def subset_sum(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     return taken
 
 
+def sparse_sum(lengths: list[int], counts: list[int], budget: int, most_sums: int = 1 << 17) -> list[int] | None:
+    """The same over the sums that can be made at all, whatever their size; None where there are
+    more than ``most_sums`` of them."""
+    sums, steps, found = np.zeros(1, np.int64), [], []
+    for i in sorted((i for i, n in enumerate(lengths) if n), key=lambda i: -lengths[i]):
+        spare, k = min(counts[i], budget // lengths[i]), 1
+        while spare > 0 and sums[-1] < budget:
+            k = min(k, spare)
+            new = sums[sums <= budget - k * lengths[i]] + k * lengths[i]
+            more = np.union1d(sums, new)
+            if len(more) > most_sums:
+                return None
+            steps.append((i, k))
+            found.append(sums)
+            sums, spare, k = more, spare - k, 2 * k
+    taken, w = [0] * len(lengths), int(sums[-1])
+    for (i, k), before in zip(reversed(steps), reversed(found)):
+        at = int(np.searchsorted(before, w))
+        if at == len(before) or before[at] != w:  # only with this step
+            taken[i] += k
+            w -= k * lengths[i]
+    return taken
+
+
 def fit(lengths: list[int], counts: list[int], budget: int, dp_words: int = 1 << 16, most_words: int = 1 << 20) -> list[int]:
     """How many documents of each length to take so that their words come nearest to
     ``budget`` from below: proportional, then largest first, then exact subset sum.
 
     The program runs on a remainder of at most ``dp_words`` and one length, again on up to
-    ``most_words`` where it misses; it is exact for the whole budget up to there.
+    ``most_words`` where it misses; it is exact for the whole budget up to there.  Where that
+    misses too, it runs over the sums that documents can make, exact for a budget of any size
+    with up to 2^17 of them, as where documents are few.
     """
+    words = lambda k: sum(a * b for a, b in zip(lengths, k))
+    best = _fit(lengths, counts, budget, dp_words, most_words)
+    if words(best) < min(budget, words(counts)):
+        grid = math.gcd(*lengths)
+        other = sparse_sum([n // grid for n in lengths], counts, budget // grid)
+        if other and words(other) > words(best):
+            return other
+    return best
+
+
+def _fit(lengths: list[int], counts: list[int], budget: int, dp_words: int, most_words: int) -> list[int]:
     total = sum(a * b for a, b in zip(lengths, counts))
     if total <= budget:
         return list(counts)
