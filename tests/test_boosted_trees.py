@@ -152,6 +152,18 @@ def test_forecast_feeds_itself(spark, feats, model):
     assert [round(r.PRED) for r in again] == [r.PRED for r in out[:5]]
 
 
+def test_forecast_of_trees_with_nodes_that_do_not_split(spark, feats):
+    p = B.Boost(trees=1, patience=1, min_rows=90)
+    a = feats.where("STATION_ID = 'A'")
+    model = B.train_trees(a, LAGS, 60, p).cache()
+    tree = model.collect()[0].TREES[0]
+    assert None in tree.K and tree.K[0] is not None
+    cal = spark.createDataFrame([(D0 + dt.timedelta(days=399 + i), 0, 0.7 * i, 15.0) for i in range(1, 4)], "DATE date, HOLIDAY int, PRECIP double, TEMP double")
+    out = B.forecast_trees(a, model, cal, LAGS, 2, p).orderBy("DATE").collect()
+    again = B.predict_trees(spark.createDataFrame(out, B.forecast_rows(a, cal, LAGS, 2)[1]), model, LAGS, p).orderBy("DATE").collect()
+    assert len(out) == 3 and [round(r.PRED) for r in again] == [r.PRED for r in out]
+
+
 def test_odd_input(feats):
     with pytest.raises(ValueError):
         B.Boost(depth=4)

@@ -64,7 +64,7 @@ def tree_level(spark, sf_dir):
 
 
 #: Few, strong trees: the fleet's signal is one feature and a season.
-FLEET = B.Boost(trees=6, rate=0.5, patience=2)
+FLEET = B.Boost(trees=4, rate=0.5, patience=2)
 
 
 @register("train_trees")

@@ -289,8 +289,8 @@ def forecast_trees(features: DataFrame, model: DataFrame, calendar: DataFrame, l
         for t in trees:
             node = 0
             for _ in range(depth):
-                k = t["K"][node]
-                node = 2 * node + 1 + int(k is not None and x[int(k)] > t["CUT"][node])
+                k = t["K"][node]  # null, or NaN from a column of numbers, where the node does not split
+                node = 2 * node + 1 + int(k is not None and k == k and x[int(k)] > t["CUT"][node])
             total += t["V"][node + 1 - (1 << depth)]
         return total
 
