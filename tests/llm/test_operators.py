@@ -562,3 +562,46 @@ def test_license_ranks_and_odd_rows(spark):
     assert got == [(0, ""), (1, "MIT"), (1, "MIT"), (2, "MIT"), (4, "")]
     assert licenses.rank(block)[0][1] == "MIT" and [x[0] for x in licenses.rank(block)] == sorted((x[0] for x in licenses.rank(block)), reverse=True)
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def article_texts(spark, pages):
+    """Texts of pages of one host, by the operator."""
+    df = spark.createDataFrame([(i, f"http://h/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in sorted(html.extract(df).collect(), key=lambda r: r.page_id)]
+
+
+def test_template_removes_text_of_the_host(spark):
+    own = [[f"body {i} paragraph {j} with words of its own" for j in range(i % 3 + 1)] for i in range(6)]
+    body = lambda i: "".join(f"<p>{x}</p>" for x in own[i])
+    want = ["\n\n".join([f"Title {i}", *own[i]]) for i in range(6)]
+    # inside a marked article, no name tells: the first block and one in an element of its own
+    assert article_texts(spark, [f"<body><article><p>Call us 555</p><h1>Title {i}</h1>{body(i)}<div class=x>Read on <b>here</b></div></article></body>" for i in range(6)]) == want
+    # without a marked article
+    assert article_texts(spark, [f"<body><div class=top>Our great letter</div><h1>Title {i}</h1>{body(i)}<div>All of it</div></body>" for i in range(6)]) == want
+    # a teaser is marked, the body is not
+    got = article_texts(spark, [f"<body><article>Hot {i}</article><div class=z><h1>Title {i}</h1>{body(i) * 4}</div></body>" for i in range(6)])
+    assert all(want[i] in g for i, g in enumerate(got))
+    # hosts of one page share a template
+    df = spark.createDataFrame([(i, f"http://h{i}/", f"<body><div class=top>Our great letter</div><h1>Title {i}</h1>{body(i)}</body>") for i in range(6)], "page_id long, url string, html string")
+    assert [r.text for r in sorted(html.extract(df).collect(), key=lambda r: r.page_id)] == want
+
+
+def test_template_keeps_the_article(spark):
+    """Passages and white space of articles stay: a line that pages share at no fixed place, pages that are copies."""
+    shared = "a sentence that every page of the host has"
+    pages = [[f"one {i}", *[f"two {i} {j}" for j in range(i % 4)], shared, *[f"three {i} {j}" for j in range(i % 3)], f"four {i}"] for i in range(8)]
+    assert article_texts(spark, ["<body><nav>N</nav><article>" + "".join(f"<p>{x}</p>" for x in p) + "</article></body>" for p in pages]) == ["\n\n".join(p) for p in pages]
+    copies = [["The same title", *[f"the same long paragraph {j}" for j in range(9)], f"changed {i}"] for i in range(4)]
+    assert article_texts(spark, ["<body><article>" + "".join(f"<p>{x}</p>" for x in p) + "</article></body>" for p in copies]) == ["\n\n".join(p) for p in copies]
+    assert article_texts(spark, [f"<article><p><b>a{i}</b> <i>b{i}</i></p></article>" for i in range(4)]) == [f"a{i} b{i}" for i in range(4)]
+
+
+def test_classes_are_ordered_and_nest(spark):
+    of = {1: (10, 0, 3), 2: (10, 1, 3), 3: (10, 2, 3), 4: (20, 0, 2), 5: (20, 1, 2)}
+    slots, late, crossed = html.sweep([1, 4, 9, 5, 2, 9, 3, 9], of)
+    assert (slots[2], slots[5], slots[7], late, crossed) == ((20, 1), (10, 2), (0, 0), set(), set())
+    assert html.sweep([1, 4, 2, 5, 3], of)[1:] == ({5}, {20}) and html.sweep([1, 3, 2], of)[1:] == ({2}, set())
+    # one token whose role is told apart by its slot
+    first = {1: (10, 0, 2), 2: (10, 1, 2)}
+    a = html.roles([7, 1, 7, 2, 7, 7], first)
+    assert a[0] == a[4] == a[5] != a[2] and a[1] == 1 and a[3] == 2
