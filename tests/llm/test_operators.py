@@ -605,3 +605,30 @@ def test_classes_are_ordered_and_nest(spark):
     first = {1: (10, 0, 2), 2: (10, 1, 2)}
     a = html.roles([7, 1, 7, 2, 7, 7], first)
     assert a[0] == a[4] == a[5] != a[2] and a[1] == 1 and a[3] == 2
+
+
+def test_windows_are_ranked_by_compression(monkeypatch):
+    """What is found in windows comes from the templates that compress them best, and not beside them."""
+    text = "x " * 3000 + "Permission to use, copy,\n * modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that\n * the above copyright notice and this permission notice appear in all copies." + " y" * 3000
+    assert [w[2] for w in licenses.windows(text)] == ["ISC"]
+    ranked = []
+    real = licenses._ranked
+    monkeypatch.setattr(licenses, "_ranked", lambda words, by: ranked.append(len(by)) or real(words, by))
+    assert [w[2] for w in licenses.windows(text)] == ["ISC"] and ranked
+    monkeypatch.setattr(licenses, "_ranked", lambda words, by: [])  # a compressor that saves nothing
+    assert licenses.windows(text) == [] and licenses.judge("Released under the MIT License.") is None
+    monkeypatch.undo()
+    for i, (k, t, _) in enumerate(licenses.LONG):
+        best = licenses.rank(t)[0]
+        assert best[1:] == (k, len(licenses.TEMPLATES) + i) and best[0] > 0.5
+    for k, (t, _) in licenses.TEMPLATES.items():
+        assert licenses.rank(t, list(range(len(licenses.TEMPLATES))))[0][1] == k
+    assert [licenses.identifier(x) for x in ("MIT", "GPL-2.0-or-later", "Some-1.0")] == ["MIT", "GPL-2.0", "Some-1.0"]
+
+
+def test_negated_notices_are_none(spark):
+    rows = [("not all rights are reserved under the license", ""), ("this file is not released under the MIT License", ""), ("this file is not\n * released under the\n * MIT License", ""),
+            ("No warranty. Released under the MIT License.", "MIT"), ("This work is never licensed under the GNU General Public License, version 2.", ""),
+            ("x " * 2000 + "not released under the MIT License", ""), ("x " * 2000 + "released under the MIT License", "MIT")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    assert [r.licenses for r in sorted(licenses.scan(df).collect())] == [x for _, x in rows]
