@@ -7,6 +7,7 @@ import uuid
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from velocast.sources import files as AF
@@ -157,3 +158,24 @@ def test_a_repeated_or_retried_run_adds_no_row(spark, monkeypatch):
     month("202202-citibike-tripdata.csv.gz", "defgh")
     with pytest.warns(UserWarning, match="changed"):
         assert run() == 5
+
+
+def test_odd_records_are_landed_by_many_tasks(spark, folder):
+    """Each partition of the orders lands as a file with a header of its own; every order is one record."""
+    from velocast.book import flows
+    n = 700
+    orders = spark.range(n).select(F.col("id").alias("o_orderkey"), F.lit("F").alias("o_orderstatus"))
+    orders.repartition(4).write.parquet(f"{folder}/orders.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:  # a partition for each file
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 20)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1 << 20)
+        assert spark.read.format("binaryFile").load(flows._odd_records(spark, folder)).where("length > 0").count() == 4
+        got = sorted((int(r.ride_id), r.USERTYPE, r.END_STATION_NAME, r.REASON) for r in flows.rejected_records(spark, folder).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    why = {0: "too few fields", 1: "too many fields"}
+    assert got == [(i, None if i % 7 < 2 else "F", f'a "b",\n{i}' if i % 7 == 2 else None, why.get(i % 7)) for i in range(n)]
+    orders.limit(0).write.parquet(f"{folder}/none/orders.parquet")
+    assert flows.rejected_records(spark, f"{folder}/none").count() == 0
