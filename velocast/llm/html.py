@@ -105,7 +105,8 @@ def runs(page: str) -> Iterator[tuple]:
             if i > 0 and (stack[i][0] == "p" or stack[i][0] in SHUT.get(tag, ())):
                 yield from close(i)
         _, path, noise, article, within, nearest = stack[-1]
-        name, told_bad = _named(tag, m[3]) if m[3] else (tag, False)
+        # short attributes recur and are remembered; long ones (data in a URL) would fill the memory
+        name, told_bad = (_named if len(m[3]) <= 200 else _named.__wrapped__)(tag, m[3]) if m[3] else (tag, False)
         bad = told_bad or tag in DROP and not (tag == "header" and within)
         key = _key(path, name)
         yield ("tag", key)
@@ -210,15 +211,19 @@ class Template:
 
 
 def _templated(columns: list[str]):
-    """A function from (batch, row) to the row's template, each read once a worker batch run."""
+    """A function from (batch, row) to the row's template; those read last are held, up to 200,000 tokens and one more."""
     held: dict = {}
+    size = 0
 
     def get(b: pa.RecordBatch, i: int) -> Template:
+        nonlocal size
         host = b.column(0)[i].as_py()
         if host not in held:
-            if len(held) > 4096:
+            if size > 200_000:
                 held.clear()
+                size = 0
             held[host] = Template({c: b.column(c)[i].as_py() for c in columns})
+            size += len(held[host].first) + len(held[host].last) + len(held[host].slots) + 1
         return held[host]
 
     return get
